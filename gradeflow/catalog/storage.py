@@ -87,9 +87,8 @@ def relational_upsert(spark, sf):
     raw = X.raw_grades(spark, sf)
     columns = ["id", "row_key", "srcode", "grade_final"]
     execute = relational.jvm_execute(spark, url, properties)
-    execute(
-        f'CREATE TABLE {name} ("id" BIGINT NOT NULL PRIMARY KEY, "row_key" CLOB, '
-        '"srcode" CLOB, "grade_final" CLOB)'
+    relational.create_keyed_table(
+        spark, url, name, properties, execute, raw.select(*columns).schema, ["id"]
     )
     newer = F.year("updated_at") >= 1998
     first, second = raw.where(~newer), raw.where(newer)
