@@ -9,6 +9,7 @@ from gradeflow.catalog.registry import query
 from gradeflow.catalog.students import series
 from gradeflow.operators import forecast as O
 from gradeflow.plans.series import grade_series
+from gradeflow.sources.scratch import scratch_path
 
 
 def grades(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,15 +88,22 @@ def forecast_trend(spark, sf):
     return _rounded(trend.drop("cumulative_gwa"), "last_y", "prediction")
 
 
+def stored_grades(spark: SparkSession, sf: str) -> DataFrame:
+    """The series as a written table: a forest reads its input several times."""
+    path = scratch_path(spark, "series")
+    grades(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @query()
 def gwa_forecast(spark, sf):
-    known = grades(spark, sf)
+    known = stored_grades(spark, sf)
     return O.forest_forecast(O.fit_forest(known), known)
 
 
 @query()
 def gwa_forecast_metrics(spark, sf):
-    return O.forest_evaluation(grades(spark, sf))
+    return O.forest_evaluation(stored_grades(spark, sf))
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:

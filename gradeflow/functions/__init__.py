@@ -12,6 +12,8 @@ from gradeflow.functions.grades import (
 )
 from gradeflow.functions.terms import (
     canonical_semester,
+    has_schoolyear,
+    is_semester,
     schoolyear_span,
     start_year,
     term_rank,
@@ -24,7 +26,9 @@ __all__ = [
     "classify_grade",
     "grade_status",
     "grade_trend",
+    "has_schoolyear",
     "is_on_scale",
+    "is_semester",
     "numeric_grade",
     "numeric_or_null",
     "schoolyear_span",

@@ -11,7 +11,6 @@ TERM_RANKS = {"FIRST": 1, "SECOND": 2, "SUMMER": 3}
 
 # -- school years ------------------------------------------------------------
 SCHOOLYEAR_PATTERN = r"(\d{4}-\d{4})"
-SCHOOLYEAR_EXACT = r"^\d{4}-\d{4}$"
 FIRST_YEAR = 2006
 
 # -- grades ------------------------------------------------------------------

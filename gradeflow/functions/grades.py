@@ -27,9 +27,10 @@ def numeric_grade(final: Column, reexam: Column, pattern: str = K.STRICT_GRADE)
     return F.coalesce(text.try_cast("double"), F.lit(K.UNGRADED_AS))
 
 
-def is_on_scale(grade: Column) -> Column:
-    """True for 0 and for the values of the grading scale (3.50 is not one)."""
-    return grade.isin(0.0, *(float(g) for g in K.GRADE_SCALE))
+def is_on_scale(grade: Column, *, zero: bool = True) -> Column:
+    """True for the values of the grading scale (3.50 is not one) and, with ``zero``, 0."""
+    scale = [float(g) for g in K.GRADE_SCALE]
+    return grade.isin(0.0, *scale) if zero else grade.isin(*scale)
 
 
 def classify_grade(final: Column, reexam: Column) -> Column:
@@ -42,11 +43,11 @@ def classify_grade(final: Column, reexam: Column) -> Column:
     * re-exam only: normal after a dash, ``INC`` after an ``INC``
     * neither: invalid, except that ``DRP`` is always a drop
     """
-    final_number = F.when(final.rlike(K.STRICT_GRADE), final.try_cast("double"))
-    reexam_number = F.when(reexam.rlike(K.STRICT_GRADE), reexam.try_cast("double"))
+    final_numeric, reexam_numeric = final.rlike(K.STRICT_GRADE), reexam.rlike(K.STRICT_GRADE)
+    final_value, reexam_value = final.try_cast("double"), reexam.try_cast("double")
     both = (
-        F.when(final_number > reexam_number, F.lit("IMPROVED(REEXAM)"))
-        .when(final_number < reexam_number, F.lit("FAILED(REEXAM)"))
+        F.when(final_value > reexam_value, F.lit("IMPROVED(REEXAM)"))
+        .when(final_value < reexam_value, F.lit("FAILED(REEXAM)"))
         .otherwise(F.lit("INVALID"))
     )
     final_only = F.when(reexam == "INC", F.lit("INC")).otherwise(F.lit("NORMAL"))
@@ -57,9 +58,9 @@ def classify_grade(final: Column, reexam: Column) -> Column:
     )
     return (
         F.when(final == "DRP", F.lit("DROP"))
-        .when(final_number.isNotNull() & reexam_number.isNotNull(), both)
-        .when(final_number.isNotNull(), final_only)
-        .when(reexam_number.isNotNull(), reexam_only)
+        .when(final_numeric & reexam_numeric, both)
+        .when(final_numeric, final_only)
+        .when(reexam_numeric, reexam_only)
         .otherwise(F.lit("INVALID"))
     )
 

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from gradeflow.functions import constants as K
 
 
+def is_semester(semester: Column) -> Column:
+    """True for a known semester in any of its spellings."""
+    return semester.isin(*K.SEMESTERS, *K.SEMESTER_SPELLINGS)
+
+
 def canonical_semester(semester: Column) -> Column:
     """One of the four known semesters, or NULL for anything else."""
     known = F.when(semester.isin(*K.SEMESTERS), semester)
@@ -19,15 +24,19 @@ def canonical_semester(semester: Column) -> Column:
     return known
 
 
-def schoolyear_span(schoolyear: Column) -> Column:
-    """The ``YYYY-YYYY`` part of a school year, or NULL when there is none."""
-    span = F.regexp_extract(schoolyear, K.SCHOOLYEAR_PATTERN, 1)
-    return F.when(span.rlike(K.SCHOOLYEAR_EXACT), span)
+def has_schoolyear(text: Column) -> Column:
+    """True when the text contains a ``YYYY-YYYY``."""
+    return text.rlike(K.SCHOOLYEAR_PATTERN)
+
+
+def schoolyear_span(text: Column) -> Column:
+    """The first ``YYYY-YYYY`` in the text, or the empty text."""
+    return F.regexp_extract(text, K.SCHOOLYEAR_PATTERN, 1)
 
 
 def start_year(schoolyear: Column) -> Column:
     """The year before the first dash as an int; NULL when it is not a number."""
-    return F.get(F.split(schoolyear, "-"), F.lit(0)).try_cast("int")
+    return F.substring_index(schoolyear, "-", 1).try_cast("int")
 
 
 def term_rank(semester: Column) -> Column:

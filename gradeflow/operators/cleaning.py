@@ -1,5 +1,10 @@
 """Row-level cleaning.  Every operator here is narrow: no shuffle, no sort.
 
+Filters test a column before it is rewritten rather than the rewritten one after.
+Spark moves filters below projections and repeats the projected expression in
+them, so this is what keeps a long chain from matching the same pattern again and
+again.
+
 NULLs follow SQL: a row whose test is unknown is dropped, so ``drop_text_null``
 and ``drop_marks`` remove true NULLs along with the texts they name.
 """
@@ -50,16 +55,13 @@ def clean_semesters(df: DataFrame, *, trim_first: bool = False, names: ColumnMap
     given = F.col(names.semester)
     if trim_first:
         given = F.trim(given)
-    return df.withColumn(names.semester, S.canonical_semester(given)).where(
-        F.col(names.semester).isNotNull()
-    )
+    return df.where(S.is_semester(given)).withColumn(names.semester, S.canonical_semester(given))
 
 
 def clean_schoolyear(df: DataFrame, *, names: ColumnMap = NAMES) -> DataFrame:
     """Cut school years down to ``YYYY-YYYY``; rows without one go."""
-    return df.withColumn(names.schoolyear, S.schoolyear_span(F.col(names.schoolyear))).where(
-        F.col(names.schoolyear).isNotNull()
-    )
+    given = F.col(names.schoolyear)
+    return df.where(S.has_schoolyear(given)).withColumn(names.schoolyear, S.schoolyear_span(given))
 
 
 def valid_schoolyears(
@@ -104,9 +106,11 @@ def with_numeric_grade(
     )
 
 
-def filter_valid_grades(df: DataFrame, *, names: ColumnMap = NAMES) -> DataFrame:
-    """Keep 0 and the values of the scale, as ``decimal(5,2)``."""
-    return df.where(G.is_on_scale(F.col(names.grade))).withColumn(
+def filter_valid_grades(
+    df: DataFrame, *, zero: bool = True, names: ColumnMap = NAMES
+) -> DataFrame:
+    """Keep the values of the scale and, with ``zero``, 0; as ``decimal(5,2)``."""
+    return df.where(G.is_on_scale(F.col(names.grade), zero=zero)).withColumn(
         names.grade, F.col(names.grade).cast(GRADE_TYPE)
     )
 
@@ -123,13 +127,17 @@ def process_grades(
     pattern: str = K.STRICT_GRADE,
     *,
     classify: bool = True,
+    zero: bool = True,
     names: ColumnMap = NAMES,
 ) -> DataFrame:
-    """Invalid marks out, numeric grade in, off-scale grades out, then the class."""
+    """Invalid marks out, numeric grade in, off-scale grades out, then the class.
+
+    ``zero=False`` does the work of a later ``filter_dropped`` in the same test.
+    """
     df = (
         df.transform(filter_invalid_grades, names=names)
         .transform(with_numeric_grade, pattern, names=names)
-        .transform(filter_valid_grades, names=names)
+        .transform(filter_valid_grades, zero=zero, names=names)
     )
     return df.transform(with_classification, names=names) if classify else df
 

@@ -44,20 +44,19 @@ def clean_grades(
 
     The order of the steps is part of the result: semesters are checked before
     trimming, grades are classified before the re-exam text is blanked out, and
-    incomplete grades are judged after.
+    incomplete grades are judged after.  Dropped courses (grade 0) leave together
+    with the grades that are off the scale.
     """
     cleaned = (
         raw.transform(C.standardize_case, CASED)
         .transform(C.clean_semesters, trim_first=trim_first)
-        .transform(C.remove_null_strings, "semester")
         .transform(C.clean_strings, TRIMMED)
         .transform(C.clean_schoolyear)
-        .transform(C.process_grades)
+        .transform(C.process_grades, zero=False)
         .transform(C.remove_null_strings, "program")
         .transform(C.numeric_or_null, "grade_reexam")
         .transform(C.cast_columns, [("units", "int"), ("grade_numeric", "decimal(5,2)")])
         .transform(C.filter_incomplete, as_of_year)
-        .transform(C.filter_dropped)
         .transform(C.valid_schoolyears, min_year)
         .transform(C.year_semesters)
     )
@@ -78,10 +77,9 @@ def clean_grades_latest(
         .transform(C.clean_semesters)
         .transform(C.clean_schoolyear)
         .transform(latest_program, order)
-        .transform(C.process_grades, K.LOOSE_GRADE)
+        .transform(C.process_grades, K.LOOSE_GRADE, zero=False)
         .transform(C.cast_columns, [("units", "int"), ("grade_numeric", "decimal(5,2)")])
         .transform(C.filter_incomplete, as_of_year)
-        .transform(C.filter_dropped)
         .transform(C.year_semesters, into="yearsem", ordinal=True)
     )
 
