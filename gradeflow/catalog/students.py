@@ -116,8 +116,8 @@ def map_program_ids_alias(spark, sf):
 def semester_averages(spark, sf):
     return (
         cleaned(spark, sf)
-        .transform(U.latest_program, X.NEWEST)
-        .transform(U.semester_averages, ["srcode", "year_sem", "program"])
+        .transform(U.latest_program_terms, X.NEWEST)
+        .transform(U.term_averages)
         .withColumn("sem_average", F.round("sem_average", 6))
     )
 

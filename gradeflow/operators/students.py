@@ -74,6 +74,40 @@ def shifters(df: DataFrame, *, distinct: bool = False, names: ColumnMap = NAMES)
 
 
 # -- semester series ---------------------------------------------------------
+def latest_program_terms(
+    df: DataFrame,
+    order: Sequence[str] = ("schoolyear",),
+    *,
+    term: str = "year_sem",
+    names: ColumnMap = NAMES,
+) -> DataFrame:
+    """Grade totals per term of each student's latest program.
+
+    Equals ``latest_program`` followed by an aggregate over student, term and
+    program, but aggregates first: rows are read once and combined map-side, each
+    group remembers its newest row, and the choice of the program is made among
+    a student's groups.  Result: (srcode, term, program, total, graded).
+    """
+    grade = F.col(names.grade).cast("double")
+    groups = df.groupBy(names.srcode, term, names.program).agg(
+        F.sum(grade).alias("total"),
+        F.count(grade).alias("graded"),
+        F.max(F.struct(*order)).alias("__newest"),
+    )
+    newest_first = Window.partitionBy(names.srcode).orderBy(F.desc("__newest"))
+    current = F.first(names.program).over(newest_first)
+    return (
+        groups.withColumn("__current", current)
+        .where(F.col(names.program) == F.col("__current"))
+        .drop("__current", "__newest")
+    )
+
+
+def term_averages(terms: DataFrame) -> DataFrame:
+    """Totals to averages."""
+    return terms.withColumn("sem_average", F.col("total") / F.col("graded")).drop("total", "graded")
+
+
 def semester_averages(
     df: DataFrame,
     by: Sequence[str] = ("srcode", "yearsem", "program_id"),

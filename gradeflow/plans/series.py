@@ -18,26 +18,16 @@ def semester_series(
     order: Sequence[str] = ("schoolyear",),
     aliases: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """Latest program -> program id -> average per term -> terms numbered.
+    """Latest program -> average per term -> program id -> terms numbered.
 
-    Averaging comes before the program lookup's id is needed, so rows are averaged
-    by program *name* first and only the averages meet the dimension; sums and
-    counts are combined again where several names share an id.
+    One scan and two shuffles, both of aggregated rows.  A student is left with
+    one program here, hence with one row per term, so the lookup by name needs no
+    second aggregate by id.
     """
-    partial = (
-        cleaned.transform(S.latest_program, order)
-        .groupBy("srcode", "year_sem", "program")
-        .agg(
-            F.sum(F.col("grade_numeric").cast("double")).alias("total"),
-            F.count("grade_numeric").alias("graded"),
-        )
+    averages = cleaned.transform(S.latest_program_terms, order).transform(S.term_averages)
+    return S.semester_index(
+        map_program_ids(averages, programs, aliases=aliases).withColumnRenamed("year_sem", "yearsem")
     )
-    averages = (
-        map_program_ids(partial, programs, aliases=aliases)
-        .groupBy("srcode", F.col("year_sem").alias("yearsem"), "program_id")
-        .agg((F.sum("total") / F.sum("graded")).alias("sem_average"))
-    )
-    return S.semester_index(averages)
 
 
 def grade_series(series: DataFrame) -> DataFrame:

@@ -1,0 +1,32 @@
+"""Every registered query against its SQL, and the shape of the contract."""
+
+import compare
+import pytest
+
+import __spark_entry__ as E
+
+
+@pytest.fixture(scope="module")
+def con(small_dir):
+    return compare.connect(small_dir)
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_matches_sql(spark, small_dir, con, name):
+    found = E.queries()[name](spark, small_dir)
+    assert compare.difference(found, con, E.oracle_sql()[name]) is None
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+def test_unchecked_queries_return_rows(spark, small_dir, name):
+    assert E.queries()[name](spark, small_dir).count() > 0
+
+
+def test_only_forests_lack_sql():
+    assert set(E.queries()) - set(E.oracle_sql()) == {"gwa_forecast", "gwa_forecast_metrics"}
+
+
+def test_entry(spark):
+    found = E.entry(spark)
+    assert found.count() > 0
+    assert {"grade_numeric", "grade_classification", "year_sem", "program_id"} <= set(found.columns)
