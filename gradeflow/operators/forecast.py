@@ -154,11 +154,14 @@ def forest_evaluation(
     by: Sequence[str] = SERIES,
 ) -> DataFrame:
     """Hold out each student's last terms, fit on the rest, report the metrics."""
-    parts = temporal_split(series, test_share, by).where("n >= 2")
-    train, test = parts.where("is_train"), parts.where(~F.col("is_train"))
-    model = fit_forest(train.select(*by, "semester", "y"), trees, seed)
-    known = train.groupBy(*by).agg(F.avg("y").alias("cumulative_gwa"))
-    rows = test.join(known, list(by)).withColumn("program", _program_feature())
+    known = F.avg(F.when(F.col("is_train"), F.col("y"))).over(Window.partitionBy(*by))
+    parts = (
+        temporal_split(series, test_share, by)
+        .withColumn("cumulative_gwa", known)
+        .where("n >= 2")
+    )
+    model = fit_forest(parts.where("is_train").select(*by, "semester", "y"), trees, seed)
+    rows = parts.where(~F.col("is_train")).withColumn("program", _program_feature())
     predicted = model.transform(rows).select(
         *by, "semester", F.col("y").alias("actual"), clip("yhat").alias("prediction")
     )

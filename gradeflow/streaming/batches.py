@@ -139,3 +139,19 @@ def drain(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+
+
+def progress(query: StreamingQuery) -> list[BatchMetrics]:
+    """What the engine itself recorded about recent batches of a query.
+
+    Rows written are known only to sinks that report them; the rest say -1.
+    """
+    return [
+        BatchMetrics(
+            batch_id=p["batchId"],
+            input_rows=p["numInputRows"],
+            output_rows=p["sink"].get("numOutputRows", -1),
+            seconds=p["durationMs"].get("triggerExecution", 0) / 1000.0,
+        )
+        for p in query.recentProgress
+    ]
