@@ -113,9 +113,12 @@ def anti_join(df: DataFrame, known: DataFrame, on: str | Sequence[str]) -> DataF
 
 
 def semi_join(df: DataFrame, members: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in ``members``; NULL keys go."""
+    """Rows whose key occurs in ``members``; NULL keys go.
+
+    With each member once, this is a lookup that keeps the rows it finds.
+    """
     keys = [on] if isinstance(on, str) else list(on)
-    return df.join(members.select(*keys).distinct(), keys, "left_semi")
+    return lookup(df, members.select(*keys).distinct(), keys, "inner").select(*df.columns)
 
 
 def new_rows(

@@ -186,6 +186,13 @@ def test_new_rows(spark):
     assert [r["id"] for r in J.new_rows(df, known, "id", 2).collect()] == [2, 3]
 
 
+def test_semi_join_keeps_every_row_of_a_hot_member(skewed):
+    members = skewed.where("program IN ('hot', 'k7')")
+    kept = J.semi_join(skewed, members, "program")
+    assert kept.count() == skewed.where("program IN ('hot', 'k7')").count()
+    assert kept.columns == skewed.columns
+
+
 def test_semi_join_drops_null_years(spark):
     df = spark.createDataFrame([("a",), (None,), ("b",)], "y string")
     assert [r["y"] for r in J.semi_join(df, df.where("y IS NULL OR y = 'a'"), "y").collect()] == ["a"]
