@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeflow.llm import quality
+from gradeflow.llm import quality, simhash, substrings, suffixes
 from gradeflow.llm.common import table
 
 QUERIES = {}
@@ -74,3 +74,65 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_lines",
         "failed",
     )
+
+
+@query()
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and the smallest doc_id that links lead to."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+PLACES = rf"""
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents
+), places AS (
+  SELECT r, doc_id, len(w) AS n, i, array_to_string(w[i:i + {{last}}], ' ') AS run
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - {{last}} + 1)) AS i FROM docs WHERE len(w) > {{last}})
+)"""
+
+
+@query(
+    f"""
+WITH {PLACES.format(last=34)}, hit AS (
+  SELECT r, i FROM places QUALIFY count(*) OVER (PARTITION BY run) > 1
+), gone AS (
+  SELECT r, list(DISTINCT j) AS js FROM (SELECT r, unnest(range(i, i + 35)) AS j FROM hit) GROUP BY r
+), words AS (
+  SELECT r, list(word ORDER BY j) AS left_over FROM (
+    SELECT docs.r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j, coalesce(js, []) AS js
+    FROM docs LEFT JOIN gone USING (r)
+  ) WHERE NOT list_contains(js, j) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(len(left_over), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(left_over, ' '), '')) AS kept_sha256
+FROM docs LEFT JOIN words USING (r)
+"""
+)
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the windows of 35 words that occur elsewhere."""
+    found = substrings.repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", substrings.digests(F.col("text"), F.col("places")).alias("d")).select("doc_id", "d.*")
+
+
+@query(
+    f"""
+WITH {PLACES.format(last=49)}, ranked AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY run) AS n,
+    row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1 AS later
+  FROM places
+), marks AS (
+  SELECT doc_id, j, max(later) AS gone
+  FROM (SELECT doc_id, later, unnest(range(i, i + 50)) AS j FROM ranked WHERE n > 1) GROUP BY doc_id, j
+), islands AS (
+  SELECT doc_id, j, gone, j - row_number() OVER (PARTITION BY doc_id ORDER BY j) AS island FROM marks
+)
+SELECT doc_id, CAST(min(j) - 1 AS BIGINT) AS start_word, CAST(count(*) AS BIGINT) AS n_words,
+  CAST(count(*) FILTER (gone) AS BIGINT) AS n_removed
+FROM islands GROUP BY doc_id, island
+"""
+)
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of words that lie in a repeated passage of 50 words or more, and how many of them go."""
+    return suffixes.spans(table(spark, sf_dir, "documents"))
