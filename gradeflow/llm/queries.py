@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeflow.llm import quality, simhash, substrings, suffixes
+from gradeflow.llm import licenses, packing, quality, simhash, substrings, suffixes, tokencount, warc
 from gradeflow.llm.common import table
 
 QUERIES = {}
@@ -136,3 +136,90 @@ FROM islands GROUP BY doc_id, island
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of words that lie in a repeated passage of 50 words or more, and how many of them go."""
     return suffixes.spans(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and its place there."""
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, octet_length(body) AS n, sha1(html) AS digest FROM p
+), g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY digest) AS largest FROM d
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id < largest THEN largest END AS refers_to
+FROM g
+"""
+)
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written to seekable bundles and read back."""
+    found = warc.archived(table(spark, sf_dir, "pages"), payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy word pieces of every document."""
+    return tokencount.token_counts(table(spark, sf_dir, "documents"))
+
+
+def template_values() -> str:
+    rows = [
+        f"({k}, {len(t)}, '{label}', {base}, {i}, '{t[i].decode()} {t[i + 1].decode()}')"
+        for k, (t, label, base) in enumerate(licenses.TEMPLATES)
+        for i in range(len(t) - 1)
+    ]
+    return ", ".join(rows)
+
+
+@query(
+    rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), templates AS (
+  SELECT * FROM (VALUES {template_values()}) AS v(template, size, label, base, place, pair)
+), hits AS (
+  SELECT r, template, size, label, base, pos - place AS diagonal, place
+  FROM (SELECT r, unnest(range(1, len(w))) - 1 AS pos, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pair FROM docs)
+  JOIN templates USING (pair)
+), votes AS (
+  SELECT r, template, size, label, base, diagonal, count(*) AS votes, list(place) AS places
+  FROM hits GROUP BY ALL
+), whole AS (
+  SELECT r, label, base, diagonal AS start, 1.0::DOUBLE AS score FROM votes WHERE base AND votes = size - 1
+), opened AS (
+  SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > 1, true) AS opens
+  FROM votes WHERE NOT base
+), parts AS (
+  SELECT *, sum(opens::INT) OVER (PARTITION BY r, template ORDER BY diagonal) AS part FROM opened
+), lines AS (
+  SELECT r, label, base, min(diagonal) AS start,
+    len(list_distinct(list_concat(flatten(list(places)), list_transform(flatten(list(places)), lambda x: x + 1))))::DOUBLE / size AS score
+  FROM parts GROUP BY r, template, size, label, base, part
+), found AS (
+  SELECT * FROM whole UNION ALL SELECT * FROM lines WHERE score >= 0.8
+), told AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+    coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (base))), ','), '') AS base_labels,
+    array_to_string(list_sort(list_distinct(list(label))), ',') AS labels, max(score) AS score
+  FROM found GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+  CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0.0) AS score
+FROM docs LEFT JOIN told USING (r)
+"""
+)
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and lines of every document."""
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
