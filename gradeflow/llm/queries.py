@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeflow.llm import licenses, packing, quality, simhash, substrings, suffixes, tokencount, warc
+from gradeflow.llm import embeddings, licenses, mixing, packing, quality, simhash, substrings, suffixes, tokencount, warc
 from gradeflow.llm.common import table
 
 QUERIES = {}
@@ -223,3 +223,46 @@ FROM docs LEFT JOIN told USING (r)
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and lines of every document."""
     return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+), ok AS (
+  SELECT r, vec_id, label, e, sqrt(list_dot_product(e, e)) AS size FROM v
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.r AS ra, b.r AS rb, a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+    ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+    AND list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.98
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v LEFT JOIN (SELECT ra AS r, count(*) AS n FROM links GROUP BY ra) USING (r)
+  LEFT JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a) USING (vec_id)
+"""
+)
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+#: What the labels say: documents of quality that are not toxic, toxic ones, poor ones.
+DOMAINS = ("plain", "toxic", "poor")
+TARGETS = (0.92, 0.03, 0.05)
+
+
+def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    domain = F.expr("CASE WHEN quality = 0 THEN 2 WHEN toxic = 1 THEN 1 WHEN quality = 1 AND toxic = 0 THEN 0 END")
+    return table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
+
+
+@query()
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Memberships, rate and copies of every document."""
+    found = mixing.mixed(table(spark, sf_dir, "documents"), domains(spark, sf_dir), list(TARGETS))
+    shares = [(F.col(f"q{k}") / mixing.GRID).alias(f"p_{name}") for k, name in enumerate(DOMAINS)]
+    return found.select("doc_id", "n_tokens", *shares, "rate", "copies")
