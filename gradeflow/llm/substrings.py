@@ -46,7 +46,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, th, text and ``places``: starts of the windows that also start elsewhere."""
     texts = named(docs)
     n = buckets_for(docs)
-    hit = with_places(texts, repeated(texts, blocks(window), n), "inner")
+    hit = with_places(texts, repeated(texts, blocks(window), n, width=6), "inner")
     starts = repeated(hit, around((window + 1) // 2 - 1, window), n, ("places",))
     return with_places(texts, starts, "left")
 

@@ -3,7 +3,7 @@
 Both substring operators end here. ``pack`` hashes runs of words of each document,
 gathers the entries of a few million words (a *load*) and deals them over buckets by
 hash. What travels is packed: one binary row per load and bucket, with entries sorted
-by hash and stored as byte planes, about seven bytes an entry after compression.
+by hash and stored as byte planes, of which the upper ones compress to little.
 ``matched`` compares the entries of a bucket; ``resolved`` gives the hits of a load
 back to its documents.
 
@@ -13,8 +13,7 @@ back to its documents.
 * The number of buckets follows the size of the table, so a bucket holds a bounded
   number of words; it is an ordinary shuffle partition, cut by hash bits. A load is
   bounded too (but never cuts a document).
-* 48 stored bits and the bucket (five bits at least, more on larger tables) tell runs
-  apart.
+* 64 bits of hash tell runs apart.
 
 Documents are named by doc_id and a hash of the text, so rows that share an id but not
 a text are kept apart; a null id is a name like any other.
@@ -73,12 +72,12 @@ def planes(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
 
 
-def unplaned(data: bytes, kind: str, stored: int | None = None) -> np.ndarray:
-    """The values of ``planes``, of whose bytes the first ``stored`` were kept."""
+def unplaned(data: bytes, kind: str, size: int) -> np.ndarray:
+    """The ``size`` values of ``planes``, of which the last planes were kept."""
     width = np.dtype(kind).itemsize
-    kept = np.frombuffer(data, np.uint8).reshape(stored or width, -1)
-    wide = np.zeros((kept.shape[1], width), np.uint8)
-    wide[:, : len(kept)] = kept.T
+    kept = np.frombuffer(data, np.uint8).reshape(-1, size)
+    wide = np.zeros((size, width), np.uint8)
+    wide[:, width - len(kept) :] = kept.T
     return wide.view(kind).ravel()
 
 
@@ -90,8 +89,8 @@ def bucket_of(hashes: np.ndarray, n: int) -> np.ndarray:
 class Load:
     """The entries of a few million words."""
 
-    def __init__(self, task: int, n_buckets: int, ordered: bool) -> None:
-        self.task, self.n_buckets, self.ordered, self.number = task, n_buckets, ordered, 0
+    def __init__(self, task: int, n_buckets: int, ordered: bool, width: int) -> None:
+        self.task, self.n_buckets, self.ordered, self.width, self.number = task, n_buckets, ordered, width, 0
         self.clear()
 
     def clear(self) -> None:
@@ -159,7 +158,7 @@ class Load:
             rows.append(
                 {
                     "bucket": int(b), "load": load, "kind": ENTRIES, "size": int(y - x),
-                    "a": planes(hashes[x:y])[: 6 * (y - x)], "b": planes(entry[x:y]),
+                    "a": planes(hashes[x:y])[(8 - self.width) * (y - x) :], "b": planes(entry[x:y]),
                     "c": planes(own[x:y]) if self.ordered else None,
                     "d": planes(place[x:y]) if self.ordered else None,
                 }
@@ -171,15 +170,22 @@ class Load:
 
 
 def pack(
-    docs: DataFrame, pick: Callable[..., Picked], n_buckets: int, columns: tuple[str, ...] = (), ordered: bool = False
+    docs: DataFrame,
+    pick: Callable[..., Picked],
+    n_buckets: int,
+    columns: tuple[str, ...] = (),
+    ordered: bool = False,
+    width: int = 8,
 ) -> DataFrame:
     """Rows of PACKED for ``docs`` (named). ``pick(hash sums, rolling, *columns)`` names the runs.
 
     ``ordered``: entries carry doc_id and position, so that a first place can be told.
+    ``width``: bytes of hash an entry carries, from the highest; six will do where what is
+    found is looked at again.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, load = Rolling(), Load(TaskContext.get().partitionId(), n_buckets, ordered)
+        rolling, load = Rolling(), Load(TaskContext.get().partitionId(), n_buckets, ordered, width)
         for batch in batches:
             more = [cells(batch, c) for c in columns]
             named_rows = zip(cells(batch, "doc_id"), cells(batch, "th"), cells(batch, "text"), strict=True)
@@ -201,12 +207,12 @@ def matched(packed: DataFrame) -> DataFrame:
         out = [x for x in rows if x["kind"] != ENTRIES]
         rows = [x for x in rows if x["kind"] == ENTRIES]
         if rows:
-            hashes = np.concatenate([unplaned(x["a"], "<u8", 6) for x in rows])
-            entry = np.concatenate([unplaned(x["b"], "<u4") for x in rows])
+            hashes = np.concatenate([unplaned(x["a"], "<u8", x["size"]) for x in rows])
+            entry = np.concatenate([unplaned(x["b"], "<u4", x["size"]) for x in rows])
             source = np.repeat(np.arange(len(rows)), [x["size"] for x in rows])
             if rows[0]["c"] is not None:
-                own = np.concatenate([unplaned(x["c"], "<i8") for x in rows])
-                place = np.concatenate([unplaned(x["d"], "<u4") for x in rows])
+                own = np.concatenate([unplaned(x["c"], "<i8", x["size"]) for x in rows])
+                place = np.concatenate([unplaned(x["d"], "<u4", x["size"]) for x in rows])
                 order = np.lexsort((place, own, hashes))
             else:
                 order = np.argsort(hashes, kind="stable")
@@ -245,14 +251,14 @@ def resolved(hits: DataFrame) -> DataFrame:
     def of(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         owners = next(x for x in rows if x["kind"] == OWNERS)
-        found = [unplaned(x["a"], "<u4") for x in rows if x["kind"] == KNOWN]
+        found = [unplaned(x["a"], "<u4", x["size"]) for x in rows if x["kind"] == KNOWN]
         ids, ths = np.frombuffer(owners["a"], "<i8"), np.frombuffer(owners["b"], "<i8")
         starts, none = np.frombuffer(owners["c"], "<u4"), np.frombuffer(owners["d"], np.uint8) > 0
         at = np.concatenate(found) if found else np.empty(0, "<u4")
         at = at[np.argsort(at & PLACE, kind="stable")]
         owner = np.searchsorted(starts, at & PLACE, side="right") - 1
         used, first = np.unique(owner, return_index=True)
-        ends = np.append(first[1:], len(at))
+        ends = np.append(first, len(at))[1:]
         return pa.table(
             {
                 "doc_id": pa.array(ids[used], mask=none[used], type=pa.int64()),
@@ -268,10 +274,15 @@ def resolved(hits: DataFrame) -> DataFrame:
 
 
 def repeated(
-    docs: DataFrame, pick: Callable[..., Picked], n_buckets: int, columns: tuple[str, ...] = (), ordered: bool = False
+    docs: DataFrame,
+    pick: Callable[..., Picked],
+    n_buckets: int,
+    columns: tuple[str, ...] = (),
+    ordered: bool = False,
+    width: int = 8,
 ) -> DataFrame:
     """HITS of the runs that ``pick`` names in ``docs``."""
-    return resolved(matched(pack(docs, pick, n_buckets, columns, ordered)))
+    return resolved(matched(pack(docs, pick, n_buckets, columns, ordered, width)))
 
 
 def with_places(docs: DataFrame, hits: DataFrame, how: str) -> DataFrame:
