@@ -62,8 +62,7 @@ def covered(words: list[bytes], roll: Rolling) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
-@F.arrow_udf(", ".join(f"{x} long" for x in MEASURES))
-def measures(texts: pa.Array) -> pa.Array:
+def measured(texts: pa.Array) -> pa.Array:
     roll = Rolling()
     found = []
     for raw in texts:
@@ -83,6 +82,10 @@ def measures(texts: pa.Array) -> pa.Array:
     return pa.array(found, pa.struct([(x, pa.int64()) for x in MEASURES]))
 
 
+def measures(text: Column) -> Column:
+    return F.arrow_udf(measured, ", ".join(f"{x} long" for x in MEASURES))(text)
+
+
 def failures() -> Column:
     """The mask of failed rules."""
     bits = [F.when(F.expr(RULES[name]), F.lit(bit)).otherwise(F.lit(0)) for name, bit in BITS.items()]
@@ -94,8 +97,8 @@ def failures() -> Column:
 
 def ledger(docs: DataFrame) -> DataFrame:
     """doc_id, the measurements and ``failed``, one row per row of ``docs``."""
-    measured = docs.select("doc_id", measures(utf8("text")).alias("m")).select("doc_id", "m.*")
-    return measured.withColumn("failed", failures())
+    told = docs.select("doc_id", measures(utf8("text")).alias("m")).select("doc_id", "m.*")
+    return told.withColumn("failed", failures())
 
 
 def mask(policy: str) -> int:

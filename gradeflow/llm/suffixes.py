@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeflow.llm.common import Rolling, cells, stored, word_hashes
@@ -114,13 +114,16 @@ def anchors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     ranked = array.repartitionByRange("key", "doc_id", "at").sortWithinPartitions("key", "doc_id", "at")
     found = ranked.mapInArrow(alike, "doc_id long, th long, at int")
     return found.groupBy("doc_id", "th").agg(F.collect_list("at").alias("list")).select(
-        "doc_id", "th", packed_places("list").alias("places")
+        "doc_id", "th", packed_places(F.col("list")).alias("places")
     )
 
 
-@F.arrow_udf("binary")
-def packed_places(lists: pa.Array) -> pa.Array:
-    return pa.array([np.array(x.as_py(), dtype="<u4").tobytes() for x in lists], pa.binary())
+def packed_places(lists: Column) -> Column:
+    @F.arrow_udf("binary")
+    def of(values: pa.Array) -> pa.Array:
+        return pa.array([np.array(x.as_py(), dtype="<u4").tobytes() for x in values], pa.binary())
+
+    return of(lists)
 
 
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -1,0 +1,93 @@
+"""Token ids, cuts and packings against plain versions."""
+
+import random
+import zlib
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from gradeflow.llm import packing
+
+ODD = [None, "", " ", "<|endoftext|> a  <|endoftext|> b", "  x \n y\t z", "a b c  d", " lead", "trail ", "\x1c q\x85r", "\U0001f600 你好", "word " * 3000]
+
+
+def check_packing(found, capacity):
+    """Every sequence is filled from its start without gaps; returns how many there are."""
+    by = defaultdict(list)
+    for r in found:
+        by[r.sequence_id].append((r.offset, r.length))
+    for places in by.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by)
+
+
+def test_whole_table(spark, small_dir, documents):
+    from gradeflow.llm.queries import QUERIES
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    expected = Counter()
+    for doc_id, text in documents:
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], dtype="<u4")
+        first = len(ids) % 1024
+        cuts = [0, *range(first, len(ids) + 1, 1024)] if first else list(range(0, len(ids) + 1, 1024))
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            expected[doc_id, k, a, b - a, zlib.crc32(ids[a:b].tobytes())] += 1
+    found = QUERIES["op1_best_fit_packing"](spark, small_dir).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found) == expected
+    least = -(-sum(r.length for r in found) // 1024)
+    assert check_packing(found, 1024) <= least * 1.02 + 1
+
+
+def test_odd_rows(spark):
+    rows = [(i, t, 1) for i, t in enumerate(ODD)] + [(None, "a b", 2), (3, ODD[3], 3), (3, ODD[3], 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, length int")
+    found = packing.packed(docs, capacity=64).collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    assert sum(r.length for r in found) == sum(len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, _ in rows)
+    check_packing(found, 64)
+    with_ids = packing.pieces(docs, 64, ids=True).where("doc_id = 3").orderBy("start").collect()
+    ids = np.frombuffer(with_ids[0].ids, "<u4")
+    assert ids.tolist() == [*tokenizer.encode(ODD[3], add_special_tokens=False).ids, 2] and len(with_ids) == 3
+
+
+def fewest(lengths, capacity):
+    """The least number of sequences, by trying all ways to fill the one with the longest piece."""
+    if not lengths:
+        return 0
+    first, rest = lengths[0], lengths[1:]
+    best = len(lengths)
+    for n in range(min(3, len(rest)) + 1):
+        for chosen in combinations(range(len(rest)), n):
+            if first + sum(rest[i] for i in chosen) <= capacity:
+                best = min(best, 1 + fewest([x for i, x in enumerate(rest) if i not in chosen], capacity))
+    return best
+
+
+def test_reduction_keeps_an_optimum():
+    rng = random.Random(4)
+    for _ in range(150):
+        lengths = sorted((rng.randrange(25, 100) for _ in range(rng.randrange(1, 8))), reverse=True)
+        fixed, left = packing.reduced(Counter(lengths), 100)
+        rest = sorted((x for x, n in left.items() for _ in range(n)), reverse=True)
+        assert Counter({x: n for x, n in left.items()}) + Counter(x for p, n in fixed for _ in range(n) for x in p) == Counter(lengths)
+        assert all(sum(p) <= 100 for p, _ in fixed)
+        assert sum(n for _, n in fixed) + fewest(rest, 100) == fewest(lengths, 100)
+
+
+def test_counts_are_used_up():
+    rng = random.Random(1)
+    for n, high in ((5000, 1023), (5000, 200), (1, 5), (0, 5)):
+        counts = Counter(rng.randrange(1, high + 1) for _ in range(n))
+        used = Counter()
+        for pattern, times in packing.solve(counts):
+            assert sum(pattern) <= 1024
+            for x in pattern:
+                used[x] += times
+        assert used == counts
