@@ -29,10 +29,13 @@ from gradeflow.llm.common import stored
 
 #: Labelled rows that the classifier is fitted on, chosen by a hash of their doc_id.
 TRAIN_ROWS = 20_000
-BUCKETS = 1 << 14
-SMOOTH = 0.5
+BUCKETS = 1 << 17
+#: Occurrences that a word needs to weigh much.
+SMOOTH = 3.0
+#: Log odds below this say little about a word; over a long text they would add up.
+CLEAR = log(2)
 GRID = 64
-STEPS = 60
+STEPS = 80
 CLOSE = 1e-6
 SPLIT = r"[\s.,;:!?()\"']+"
 
@@ -67,9 +70,11 @@ def fit(docs: DataFrame, labels: DataFrame, n_domains: int, train_rows: int = TR
     )
     totals = [x or 0 for x in counts.agg(*[F.sum(f"c{k}") for k in range(n_domains)]).first()]
     rows = [x or 0 for x in sample.agg(*own).first()]
-    logs = [F.log((F.col(f"c{k}") + SMOOTH) / (n + SMOOTH * BUCKETS)) for k, n in enumerate(totals)]
-    mean = sum(logs[1:], logs[0]) / n_domains
-    weights = counts.select("bucket", *[(x - mean).alias(f"w{k}") for k, x in enumerate(logs)])
+    every = sum((F.col(f"c{k}") for k in range(1, n_domains)), F.col("c0"))
+    share = [n / max(1, sum(totals)) for n in totals]
+    odds = [F.log((F.col(f"c{k}") + SMOOTH) / (every * s + SMOOTH)) for k, s in enumerate(share)]  # found against expected
+    clear = [F.when(F.abs(x) >= CLEAR, x).otherwise(0.0) for x in odds]
+    weights = counts.select("bucket", *[x.alias(f"w{k}") for k, x in enumerate(clear)])
     return stored(weights, "weights"), [log((r + 1) / (sum(rows) + n_domains)) for r in rows]
 
 
@@ -145,7 +150,7 @@ def fit_rates(scored: DataFrame, targets: list[float]) -> list[tuple[list[float]
     half = np.sqrt(scale)
     pace = 1 / np.linalg.eigvalsh(gram * half[:, None] * half[None, :]).max()
     steps: list[tuple[list[float], float]] = []
-    momentum = 1.0
+    momentum, last = 1.0, np.inf
     for _ in range(STEPS):
         z, r = rate(steps, "z"), rate(steps, "r")
         reached = cells.select("tokens", *[f"q{k}" for k in domains], z.alias("z"), r.alias("r")).agg(
@@ -155,6 +160,12 @@ def fit_rates(scored: DataFrame, targets: list[float]) -> list[tuple[list[float]
         at_z, at_r = np.array(reached).reshape(2, -1) / (GRID * total)
         if np.abs(np.where(met, at_r - wanted, 0)).max() < CLOSE:
             break
+        miss = float((scale * (at_r - wanted) ** 2).sum())
+        if miss > last:  # the look-ahead has overshot: begin anew from here
+            momentum = 1.0
+        if abs(last - miss) < CLOSE**2:
+            break
+        last = miss
         following = (1 + sqrt(1 + 4 * momentum**2)) / 2
         steps.append(((pace * scale * (at_z - wanted)).tolist(), (momentum - 1) / following))
         momentum = following
