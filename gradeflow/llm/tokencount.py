@@ -39,13 +39,19 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def special_tokens(path: str) -> list[str]:
+    with open(path, encoding="utf-8") as file:
+        return [x["content"] for x in json.load(file)["added_tokens"]]
+
+
 def vocabulary(path: str) -> list[bytes]:
-    """The pieces of a byte-level vocabulary file."""
+    """The pieces of a byte-level vocabulary file in the order of their ids, without special tokens."""
     with open(path, encoding="utf-8") as file:
         content = json.load(file)
     special = {x["content"] for x in content["added_tokens"]}
     letters = byte_alphabet()
-    return [bytes(letters[c] for c in piece) for piece in content["model"]["vocab"] if piece not in special]
+    pieces = sorted((n, piece) for piece, n in content["model"]["vocab"].items() if piece not in special)
+    return [bytes(letters[c] for c in piece) for _, piece in pieces]
 
 
 @dataclass
