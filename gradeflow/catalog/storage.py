@@ -26,11 +26,16 @@ def keyed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # -- files -------------------------------------------------------------------
-@query(f"SELECT {SHOWN} FROM raw_grades")
+@query(
+    f"""SELECT {SHOWN}, concat('line 1 of "', description, '"', chr(10), 'line, 2', chr(13), chr(10), 'back', chr(92), 'n') AS remark
+        FROM raw_grades"""
+)
 def csv_roundtrip(spark, sf):
     path = scratch_path(spark, "csv")
-    tables.write_csv(keyed(spark, sf), path)
-    return tables.read_csv(spark, path, KEYED)
+    remark = F.concat(F.lit('line 1 of "'), "description", F.lit('"\nline, 2\r\nback\\n'))
+    rows = keyed(spark, sf).withColumn("remark", remark)
+    tables.write_csv(rows, path, escaped=True)
+    return tables.read_csv(spark, path, rows.schema, escaped=True)
 
 
 @query(f"SELECT {SHOWN} FROM raw_grades")
@@ -111,18 +116,15 @@ _LOG_ORDER = ["commit_time"]
 _LOG_COLUMNS = ["commit_time", "record_key", "row_key", "schoolyear", "srcode", "grade_final"]
 
 
-def change_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Three commits as one frame; a commit holds one version per record."""
-    first, second, third = (
-        (G.parse_instant(instant), condition) for instant, condition in X.COMMITS.values()
-    )
-    commit = (
-        F.when(F.expr(first[1]), first[0]).when(F.expr(second[1]), second[0]).otherwise(third[0])
-    )
-    stamped = X.raw_grades(spark, sf).withColumns(
-        {G.KEY: F.col("id").cast("string"), G.COMMIT: commit}
-    )
-    return latest_record(stamped, [G.KEY, G.COMMIT], X.VERSION)
+def stored_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Three commits, written once; reads of it skip the commits that they exclude."""
+    root = scratch_path(spark, "log")
+    raw = X.raw_grades(spark, sf)
+    for number, (instant, condition) in X.COMMITS.items():
+        versioned.write_commit(
+            raw.where(condition), root, number, instant, keys=["id"], order=X.VERSION, partition_by=["schoolyear"]
+        )
+    return versioned.read_log(spark, root, raw.schema)
 
 
 @query(
@@ -131,19 +133,7 @@ def change_log(spark: SparkSession, sf: str) -> DataFrame:
     f"FROM {S.latest_version('change_log')}) snap"
 )
 def log_snapshot(spark, sf):
-    root = scratch_path(spark, "log")
-    raw = X.raw_grades(spark, sf)
-    for number, (instant, condition) in X.COMMITS.items():
-        versioned.write_commit(
-            raw.where(condition),
-            root,
-            number,
-            instant,
-            keys=["id"],
-            order=X.VERSION,
-            partition_by=["schoolyear"],
-        )
-    log = versioned.read_log(spark, root, raw.schema)
+    log = stored_log(spark, sf)
     return G.snapshot(log).select(*_LOG_COLUMNS, F.col("batch_id").cast("int").alias("batch"))
 
 
@@ -152,7 +142,7 @@ def log_snapshot(spark, sf):
     + S.latest_version(f"(SELECT * FROM change_log WHERE commit_time <= '{S.INSTANTS[1]}') log")
 )
 def log_as_of(spark, sf):
-    return G.snapshot_as_of(change_log(spark, sf), "2024-02-15").select(*_LOG_COLUMNS)
+    return G.snapshot_as_of(stored_log(spark, sf), "2024-02-15").select(*_LOG_COLUMNS)
 
 
 @query(
@@ -160,7 +150,7 @@ def log_as_of(spark, sf):
     + S.latest_version(f"(SELECT * FROM change_log WHERE commit_time > '{S.INSTANTS[0]}') log")
 )
 def log_incremental(spark, sf):
-    return G.changes_since_first(change_log(spark, sf)).select(*_LOG_COLUMNS)
+    return G.changes_since_first(stored_log(spark, sf)).select(*_LOG_COLUMNS)
 
 
 @query(
@@ -169,7 +159,7 @@ def log_incremental(spark, sf):
     + S.latest_version(f"(SELECT * FROM change_log WHERE commit_time <= '{S.INSTANTS[1]}') log")
 )
 def log_retain(spark, sf):
-    return G.retain_commits(change_log(spark, sf), 2).select(*_LOG_COLUMNS)
+    return G.retain_commits(stored_log(spark, sf), 2).select(*_LOG_COLUMNS)
 
 
 @query(
@@ -181,3 +171,24 @@ def upsert_latest(spark, sf):
     raw = X.raw_grades(spark, sf)
     newer = F.year("updated_at") >= 1998
     return G.upsert(raw.where(~newer), raw.where(newer), ["id"], X.VERSION).drop("updated_at")
+
+
+_COMPOSITE = {
+    "part_one": "CASE WHEN id % 4 = 0 THEN NULL WHEN id % 4 = 1 THEN concat(srcode, ':') ELSE srcode END",
+    "part_two": "CASE WHEN id % 4 = 1 THEN 'x' WHEN id % 4 = 2 THEN ':x' WHEN id % 4 = 3 THEN NULL ELSE srcode END",
+}
+
+
+@query(
+    f"""SELECT part_one, part_two, row_key FROM (
+          SELECT *, row_number() OVER (PARTITION BY part_one, part_two ORDER BY {S.VERSION}) AS rn
+          FROM (SELECT *, {", ".join(f"{sql} AS {name}" for name, sql in _COMPOSITE.items())} FROM raw_grades) parts
+        ) ranked WHERE rn = 1"""
+)
+def log_composite_key(spark, sf):
+    """Records of two key columns with NULLs and separators in them."""
+    root = scratch_path(spark, "composite")
+    rows = X.raw_grades(spark, sf).withColumns({name: F.expr(sql) for name, sql in _COMPOSITE.items()})
+    versioned.write_commit(rows, root, 0, "2024-01-01", keys=list(_COMPOSITE), order=X.VERSION)
+    log = versioned.read_log(spark, root, rows.schema)
+    return G.snapshot(log).select("part_one", "part_two", "row_key")

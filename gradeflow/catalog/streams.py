@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,13 +12,16 @@ from pyspark.sql import types as T
 from gradeflow.catalog import steps as S
 from gradeflow.catalog.registry import query
 from gradeflow.catalog.rows import V4
-from gradeflow.columns import RAW_GRADES
+from gradeflow.columns import PROCESSED_GRADES, RAW_GRADES
 from gradeflow.operators import changelog as G
+from gradeflow.operators.cleaning import with_processing_time
+from gradeflow.operators.lookups import map_program_ids
+from gradeflow.operators.students import latest_record
 from gradeflow.plans import fixtures as X
 from gradeflow.plans.cleaning import clean_grades, clean_grades_stream
 from gradeflow.sources.scratch import scratch_path
 from gradeflow.sources.tables import literal_frame
-from gradeflow.sources.versioned import read_log
+from gradeflow.sources.versioned import ensure_log, read_log
 from gradeflow.streaming import batches as B
 from gradeflow.streaming import messages as M
 
@@ -57,7 +63,7 @@ def spoilt(spark: SparkSession, sf: str) -> DataFrame:
 def stream_ingest(spark, sf):
     root = scratch_path(spark, "ingest")
     send(M.to_messages(records(spark, sf)).unionByName(spoilt(spark, sf)), f"{root}/in")
-    parsed = M.parse_json_payload(inbox(spark, f"{root}/in"), MESSAGE, "drop")
+    parsed = M.parse_json_payload(inbox(spark, f"{root}/in"), MESSAGE)
     B.drain(B.start_append(parsed, f"{root}/out", f"{root}/checkpoint"))
     return spark.read.schema(MESSAGE).parquet(f"{root}/out").drop("updated_at")
 
@@ -91,11 +97,15 @@ def _clean(batch: DataFrame) -> DataFrame:
 
 
 def _instant(batch_id: int) -> str:
-    return f"2024-01-01 00:00:00.{batch_id:03d}"
+    """A fixed instant for each batch, a millisecond after the batch before."""
+    when = datetime(2024, 1, 1) + timedelta(milliseconds=batch_id)
+    return when.isoformat(sep=" ", timespec="milliseconds")
 
 
-def _run_batches(spark: SparkSession, sf: str, root: str) -> tuple[B.BatchJob, DataFrame]:
-    """Three deliveries to one checkpointed query, restarted for each."""
+def _run_batches(
+    spark: SparkSession, sf: str, root: str, deliver: Callable[[DataFrame], DataFrame], **more
+) -> DataFrame:
+    """Three deliveries to one checkpointed query, restarted for each; returns the log."""
     job = B.BatchJob(
         transform=_clean,
         log_root=f"{root}/log",
@@ -103,14 +113,15 @@ def _run_batches(spark: SparkSession, sf: str, root: str) -> tuple[B.BatchJob, D
         order=X.VERSION,
         partition_by=["schoolyear"],
         instant=_instant,
+        **more,
     )
     sent = records(spark, sf)
     for _, condition in X.COMMITS.values():
-        send(M.to_messages(sent.where(condition)), f"{root}/in")
-        parsed = M.parse_json_payload(inbox(spark, f"{root}/in"), MESSAGE)
+        send(deliver(sent.where(condition)), f"{root}/in")
+        parsed = M.parse_json_payload(inbox(spark, f"{root}/in"), MESSAGE, "route")
         B.drain(B.start_batches(parsed, job, f"{root}/checkpoint"))
     payload = _clean(literal_frame(spark, [], MESSAGE)).schema
-    return job, read_log(spark, f"{root}/log", payload)
+    return read_log(spark, f"{root}/log", payload)
 
 
 _UPSERTED = ", ".join(c for c in S.CLEANED if c != "updated_at")
@@ -122,19 +133,111 @@ _UPSERTED = ", ".join(c for c in S.CLEANED if c != "updated_at")
           FROM cleaned) ranked WHERE rn = 1"""
 )
 def stream_upsert(spark, sf):
-    _, log = _run_batches(spark, sf, scratch_path(spark, "upsert"))
+    log = _run_batches(spark, sf, scratch_path(spark, "upsert"), M.to_messages)
     newest = G.snapshot(log, order=X.VERSION)
     return newest.select(*(c for c in S.CLEANED if c != "updated_at"))
 
 
+#: These records come with a text for their units, and a second time as a line that is not JSON.
+_DAMAGED = "id % 89 = 0"
+
+
+def _damaged_messages(sent: DataFrame) -> DataFrame:
+    units = F.when(F.expr(_DAMAGED), F.lit("many")).otherwise(F.col("units").cast("string"))
+    typed = sent.where(f"NOT ({_DAMAGED})")
+    wrong = sent.where(_DAMAGED)
+    broken = wrong.select(F.concat(F.lit("{broken "), F.col("row_key")).alias("value"))
+    return M.to_messages(typed).unionByName(M.to_messages(wrong.withColumn("units", units))).unionByName(broken)
+
+
 @query(
-    """SELECT CAST((SELECT count(*) FROM raw_grades) AS BIGINT) AS input_rows,
-         CAST((SELECT count(*) FROM cleaned) AS BIGINT) AS output_rows"""
+    f"""SELECT CAST((SELECT count(*) FROM raw_grades) + n AS BIGINT) AS input_rows,
+          CAST((SELECT count(*) FROM cleaned) AS BIGINT) AS output_rows,
+          CAST(n AS BIGINT) AS rejected_rows, CAST(n AS BIGINT) AS damaged_rows
+        FROM (SELECT count(*) AS n FROM raw_grades WHERE {_DAMAGED}) damaged"""
 )
 def batch_metrics(spark, sf):
-    job, _ = _run_batches(spark, sf, scratch_path(spark, "metrics"))
-    history = [(m.batch_id, m.input_rows, m.output_rows) for m in job.history]
-    counted = literal_frame(spark, history, "batch_id long, input_rows long, output_rows long")
-    return counted.agg(
-        F.sum("input_rows").alias("input_rows"), F.sum("output_rows").alias("output_rows")
+    root = scratch_path(spark, "metrics")
+    _run_batches(spark, sf, root, _damaged_messages, metrics_root=f"{root}/metrics")
+    columns = ["input_rows", "output_rows", "rejected_rows", "damaged_rows"]
+    return B.read_metrics(spark, f"{root}/metrics").agg(*(F.sum(c).alias(c) for c in columns))
+
+
+# -- arrival -----------------------------------------------------------------
+_ARRIVAL = ["timestamp", "partition", "offset"]
+
+
+@query(
+    """SELECT id, row_key, grade_final FROM (
+         SELECT *, row_number() OVER (PARTITION BY id
+           ORDER BY CAST(instructor_id AS INT) % 10 DESC, units DESC, row_key DESC) AS rn
+         FROM raw_grades) ranked WHERE rn = 1"""
+)
+def stream_arrival_order(spark, sf):
+    """The version of a record that arrived last, by the message's own columns."""
+    root = scratch_path(spark, "arrival")
+    sent = records(spark, sf)
+    day = F.col("instructor_id").cast("int") % 10
+    arrived = [
+        F.timestamp_seconds(F.lit(1_704_067_200) + day * 86_400).alias("timestamp"),
+        (F.col("id") % 3).cast("int").alias("partition"),
+        F.col("units").cast("long").alias("offset"),
+    ]
+    messages = sent.select(F.to_json(F.struct(*sent.columns)).alias("value"), *arrived)
+    messages.write.parquet(f"{root}/in")
+    stream = M.stream_source(spark, "parquet", {}, f"{root}/in", messages.schema)
+    parsed = M.parse_json_payload(stream, MESSAGE, "route", keep=_ARRIVAL)
+    order = [*_ARRIVAL, "row_key"]
+    job = B.BatchJob(
+        transform=lambda batch: batch, log_root=f"{root}/log", keys=["id"], order=order, instant=_instant, keep=_ARRIVAL
     )
+    B.drain(B.start_batches(parsed, job, f"{root}/checkpoint"))
+    payload = M.good(literal_frame(spark, [], parsed.schema)).schema
+    log = read_log(spark, f"{root}/log", payload)
+    return G.snapshot(log, order=order).select("id", "row_key", "grade_final")
+
+
+# -- the whole job -----------------------------------------------------------
+_PROCESSED = [f.name for f in PROCESSED_GRADES.fields]
+_PROCESSED_AT = "2024-01-01 12:00:00"
+
+
+@query(
+    f"""SELECT {", ".join(c for c in _PROCESSED if c not in ("program_id", "processing_time"))},
+          program_id, TIMESTAMP '{_PROCESSED_AT}' AS processing_time
+        FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY {S.VERSION}) AS rn FROM cleaned) ranked
+        LEFT JOIN (SELECT program AS known, program_id FROM program_list) programs ON program = known
+        WHERE rn = 1"""
+)
+def stream_processed(spark, sf):
+    """Cleaned, with program ids and processing time, into the log and a keyed table."""
+    root = scratch_path(spark, "processed")
+    programs = X.programs(spark, sf)
+    order = ["updated_at", "row_key"]
+
+    def process(batch: DataFrame) -> DataFrame:
+        cleaned = map_program_ids(clean_grades(batch, X.AS_OF_YEAR), programs)
+        return with_processing_time(cleaned, F.lit(_PROCESSED_AT).cast("timestamp"))
+
+    def keep_newest(rows: DataFrame) -> None:
+        """Merge the batch into the current table, a new folder each time."""
+        known = current[-1:]
+        before = [spark.read.schema(rows.schema).parquet(p) for p in known]
+        merged = rows if not before else G.upsert(before[0], rows, ["id"], order)
+        path = f"{root}/current/{len(current)}"
+        latest_record(merged, ["id"], order).write.parquet(path)
+        current.append(path)
+
+    current: list[str] = []
+    job = B.BatchJob(
+        transform=process, log_root=f"{root}/log", keys=["id"], order=order, partition_by=["schoolyear"], instant=_instant,
+        sinks=[keep_newest],
+    )
+    payload = process(literal_frame(spark, [], MESSAGE)).schema
+    ensure_log(spark, f"{root}/log", payload)
+    for _, condition in X.COMMITS.values():
+        send(M.to_messages(records(spark, sf).where(condition)), f"{root}/in")
+        parsed = M.parse_json_payload(inbox(spark, f"{root}/in"), MESSAGE)
+        B.drain(B.start_batches(parsed, job, f"{root}/checkpoint"))
+    stored = spark.read.schema(payload).parquet(current[-1])
+    return stored.select(*(F.col(f.name).cast(f.dataType) for f in PROCESSED_GRADES.fields))

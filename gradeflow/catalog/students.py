@@ -193,14 +193,19 @@ def gwa_scales(spark, sf):
 
 
 @query(
-    """SELECT row_key, sha256(concat_ws('|', srcode, coalesce(schoolyear, ''), semester,
-         trim(code), row_key)) AS record_key FROM raw_grades"""
+    "SELECT row_key, sha256(concat("
+    + ", ".join(
+        f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(length({c}), ':', {c}) END"
+        for c in ("srcode", "schoolyear", "semester", "trim(code)", "grade_reexam", "concat('a|', class_section)", "row_key")
+    )
+    + ")) AS record_key FROM raw_grades"
 )
 def surrogate_key(spark, sf):
-    natural = ["srcode", "schoolyear", "semester", "code", "row_key"]
+    natural = ["srcode", "schoolyear", "semester", "code", "grade_reexam", "class_section", "row_key"]
     return (
         X.raw_grades(spark, sf)
         .transform(C.clean_strings, ["code"])
+        .withColumn("class_section", F.concat(F.lit("a|"), "class_section"))
         .transform(U.with_record_key, natural)
         .select("row_key", "record_key")
     )

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeflow.functions import constants as K
-from gradeflow.operators.students import latest_record
+from gradeflow.operators.students import latest_record, natural_key
 
 COMMIT, KEY = "commit_time", "record_key"
 
@@ -44,8 +44,11 @@ def parse_instant(text: str) -> str:
 def commit_rows(
     df: DataFrame, instant: str, keys: Sequence[str], order: Sequence[str] | None = None
 ) -> DataFrame:
-    """Shape a batch into a commit; with ``order``, one row per key (the greatest)."""
-    key = F.concat_ws(":", *(F.col(k).cast("string") for k in keys))
+    """Shape a batch into a commit; with ``order``, one row per key (the greatest).
+
+    A single key is its own text; several are joined without ambiguity, NULLs included.
+    """
+    key = F.col(keys[0]).cast("string") if len(keys) == 1 else natural_key(keys)
     rows = df.withColumns({COMMIT: F.lit(parse_instant(instant)), KEY: key})
     return rows if order is None else latest_record(rows, [KEY], order)
 
@@ -112,7 +115,10 @@ def retain_commits(
     stood at that commit.
     """
     times = log.select(COMMIT).distinct().orderBy(F.desc(COMMIT)).limit(commits)
-    oldest = times.agg(F.min(COMMIT)).scalar()
-    after = log.where(F.col(COMMIT) > oldest)
-    until = log.where(F.col(COMMIT) <= oldest)
-    return after.unionByName(snapshot(until, keys, order))
+    oldest = times.agg(F.min(COMMIT)).first()[0]  # of a stored log this reads folder names only
+    if oldest is None:
+        return log
+    old = F.col(COMMIT) <= oldest
+    # newer versions are their own group each, so one window over one scan serves both
+    version = F.when(old, F.lit("")).otherwise(F.concat(F.col(COMMIT), F.lit(" "), F.xxhash64(*log.columns).cast("string")))
+    return log.withColumn("_version", version).transform(latest_record, [*keys, "_version"], order).drop("_version")

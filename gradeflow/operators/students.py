@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeflow.columns import NAMES, ColumnMap
@@ -209,9 +209,13 @@ def gwa_scales(transmuted: DataFrame, by: Sequence[str] = ("srcode", "program",
     )
 
 
-def with_record_key(
-    df: DataFrame, columns: Sequence[str], into: str = "record_key", separator: str = "|"
-) -> DataFrame:
+def natural_key(columns: Sequence[str]) -> Column:
+    """One text for several columns, different for different values: each part is its
+    length, a colon and its text, or a dash if it is NULL."""
+    texts = [F.col(c).cast("string") for c in columns]
+    return F.concat(*(F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts))
+
+
+def with_record_key(df: DataFrame, columns: Sequence[str], into: str = "record_key") -> DataFrame:
     """A key that stays the same when rows are recomputed: a hash of the natural key."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
-    return df.withColumn(into, F.sha2(F.concat_ws(separator, *parts), 256))
+    return df.withColumn(into, F.sha2(natural_key(columns), 256))

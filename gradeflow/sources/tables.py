@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradeflow.columns import CAREER_MAP, PROGRAMS
@@ -20,12 +21,23 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, *, header: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    *,
+    header: bool = True,
+    escaped: bool = False,
 ) -> DataFrame:
-    """Read CSV.  Without a schema Spark reads the file twice to infer one."""
-    reader = spark.read.option("header", header)
+    """Read CSV.  Without a schema Spark reads the file twice to infer one.
+
+    Line breaks inside texts are read back from the escapes that :func:`write_csv` puts
+    in their place (``escaped``), so a file stays one row a line and can be split. With a
+    schema only: an inferred one does not tell which columns are texts.
+    """
+    reader = spark.read.option("header", header).option("escape", '"')
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    return reader.csv(path)
+    rows = reader.csv(path)
+    return rows.select(*(_unescaped(f) for f in rows.schema.fields)) if escaped else rows
 
 
 def read_programs(spark: SparkSession, path: str) -> DataFrame:
@@ -45,14 +57,41 @@ def read_career_maps(spark: SparkSession, path: str, *, multiline: bool = True)
     return read_json(spark, path, CAREER_MAP, multiline=multiline)
 
 
-def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite", single_file: bool = False) -> None:
-    """Write CSV with a header, spaces kept.
+def write_csv(
+    df: DataFrame, path: str, *, mode: str = "overwrite", single_file: bool = False, escaped: bool = False
+) -> None:
+    """Write CSV with a header, spaces and quotes kept.
 
+    ``escaped`` writes line breaks as ``\\n`` and ``\\r`` and a backslash as two.
     ``single_file`` sends everything through one task: for small results only.
     """
+    if escaped:
+        df = df.select(*(_escaped(f) for f in df.schema.fields))
     _few(df, single_file).write.mode(mode).option("header", True).option(
         "ignoreLeadingWhiteSpace", False
-    ).option("ignoreTrailingWhiteSpace", False).csv(path)
+    ).option("ignoreTrailingWhiteSpace", False).option("escape", '"').option("emptyValue", '""').csv(path)
+
+
+#: Stands in for an escaped backslash while line breaks are put back.
+_MARK = "\x00"
+
+
+def _escaped(field: T.StructField) -> Column:
+    text = F.col(f"`{field.name}`")
+    if not isinstance(field.dataType, T.StringType):
+        return text
+    for plain, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text.alias(field.name)
+
+
+def _unescaped(field: T.StructField) -> Column:
+    text = F.col(f"`{field.name}`")
+    if not isinstance(field.dataType, T.StringType):
+        return text
+    for written, plain in (("\\\\", _MARK), ("\\n", "\n"), ("\\r", "\r"), (_MARK, "\\")):
+        text = F.replace(text, F.lit(written), F.lit(plain))
+    return text.alias(field.name)
 
 
 def write_json(df: DataFrame, path: str, *, mode: str = "overwrite", single_file: bool = False) -> None:

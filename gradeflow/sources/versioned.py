@@ -1,11 +1,13 @@
-"""The change log on disk: Parquet, one folder per batch, partitioned by commit.
+"""The change log on disk: Parquet, one folder per stream and batch, partitioned by commit.
 
-``root/batch_id=N/commit_time=T[/<partition columns>]``.  A batch that is written
-again replaces its own folder and nothing else, so replays change nothing.
+``root/stream=S/batch_id=N/commit_time=T[/<partition columns>]``.  A batch that is
+written again replaces its own folder and nothing else, so replays change nothing.
+The new folder is written whole before it takes the old one's place.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -15,7 +17,9 @@ from pyspark.sql import types as T
 from gradeflow.operators.changelog import COMMIT, KEY, commit_rows
 from gradeflow.sources.tables import empty_frame, write_parquet
 
-BATCH = "batch_id"
+STREAM, BATCH = "stream", "batch_id"
+#: The stream of batches that no streaming query runs.
+DIRECT = "direct"
 
 
 def log_schema(payload: T.StructType) -> T.StructType:
@@ -25,6 +29,7 @@ def log_schema(payload: T.StructType) -> T.StructType:
             *payload.fields,
             T.StructField(KEY, T.StringType()),
             T.StructField(COMMIT, T.StringType()),
+            T.StructField(STREAM, T.StringType()),
             T.StructField(BATCH, T.LongType()),
         ]
     )
@@ -39,13 +44,23 @@ def write_commit(
     keys: Sequence[str],
     order: Sequence[str] | None = None,
     partition_by: Sequence[str] = (),
+    stream: str = DIRECT,
 ) -> None:
     """Append a batch to the log, one row per key when ``order`` is given."""
-    write_parquet(
-        commit_rows(df, instant, keys, order),
-        f"{root}/{BATCH}={batch_id}",
-        partition_by=[COMMIT, *partition_by],
-    )
+    waiting = f"{root}/_waiting-{uuid.uuid4().hex}"  # a name that readers skip
+    write_parquet(commit_rows(df, instant, keys, order), waiting, partition_by=[COMMIT, *partition_by])
+    replace(df.sparkSession, waiting, f"{root}/{STREAM}={stream}/{BATCH}={batch_id}")
+
+
+def replace(spark: SparkSession, new: str, path: str) -> None:
+    """Move a finished folder to ``path``, in place of what is there."""
+    jvm = spark.sparkContext._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(new), jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"could not move {new} to {path}")
 
 
 def read_log(spark: SparkSession, root: str, payload: T.StructType) -> DataFrame:
@@ -63,8 +78,8 @@ def ensure_log(spark: SparkSession, root: str, payload: T.StructType) -> DataFra
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    empty = empty_frame(spark, log_schema(payload)).drop(BATCH)
-    empty.write.mode("errorifexists").partitionBy(COMMIT).parquet(f"{root}/{BATCH}=-1")
+    empty = empty_frame(spark, log_schema(payload)).drop(STREAM, BATCH)
+    empty.write.mode("errorifexists").partitionBy(COMMIT).parquet(f"{root}/{STREAM}={DIRECT}/{BATCH}=-1")
     return read_log(spark, root, payload)
 
 
@@ -72,7 +87,7 @@ def compact(
     spark: SparkSession, log: DataFrame, new_root: str, *, partition_by: Sequence[str] = ()
 ) -> None:
     """Write a log (say, one cut down by ``retain_commits``) to a new place."""
-    write_parquet(log, new_root, partition_by=[BATCH, COMMIT, *partition_by])
+    write_parquet(log, new_root, partition_by=[STREAM, BATCH, COMMIT, *partition_by])
 
 
 def write_versioned(

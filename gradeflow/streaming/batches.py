@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from time import monotonic
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from gradeflow.sources.versioned import write_commit
+from gradeflow.sources.versioned import BATCH, DIRECT, STREAM, write_commit
+from gradeflow.streaming.messages import CORRUPT, bad, good, unreadable
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -24,6 +25,8 @@ class BatchMetrics:
     input_rows: int
     output_rows: int
     seconds: float
+    rejected_rows: int = 0
+    damaged_rows: int = 0
 
     @property
     def rows_per_second(self) -> float:
@@ -47,7 +50,14 @@ class BatchJob:
     The log is written first and replaces its own batch, then ``sinks`` get the
     same rows; they must be idempotent by key.  Any failure is raised, so the
     engine runs the batch again.  Row counts are observed while the log is
-    written, without a job of their own.
+    written, without a job of their own, and stored under ``metrics_root``, one
+    folder per stream and batch.  Batches parsed with ``route`` are told apart here:
+    unreadable messages are counted as rejected and go to ``rejects``, messages with
+    a faulty field are counted as damaged and stay.
+
+    ``stream`` names this stream in the log and the metrics. Without a name it is the
+    query's id, which belongs to its checkpoint, so another query or a new checkpoint
+    does not overwrite this one's batches.
     """
 
     transform: Transform
@@ -58,8 +68,10 @@ class BatchJob:
     sinks: Sequence[Callable[[DataFrame], None]] = ()
     instant: Callable[[int], str] | None = None
     on_metrics: Callable[[BatchMetrics], None] | None = None
-    history: list[BatchMetrics] = field(default_factory=list)
-    keep_history: int = 100
+    metrics_root: str | None = None
+    rejects: Callable[[DataFrame], None] | None = None
+    keep: Sequence[str] = ()
+    stream: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -67,19 +79,34 @@ class BatchJob:
         started = monotonic()
         taken, kept = Observation(), Observation()
         rows = F.count(F.lit(1)).alias("rows")
-        cleaned = self.transform(batch.observe(taken, rows)).observe(kept, rows)
+        stream = self.stream or _query_id(batch)
+        if CORRUPT in batch.columns:
+            lost = unreadable(batch, self.keep)
+            faulty = F.col(CORRUPT).isNotNull() & ~lost
+            if self.rejects is not None:
+                self.rejects(bad(batch, self.keep))
+            seen = batch.observe(taken, rows, F.count_if(lost).alias("rejected"), F.count_if(faulty).alias("damaged"))
+            cleaned = self.transform(good(seen, self.keep))
+        else:
+            cleaned = self.transform(batch.observe(taken, rows))
+        cleaned = cleaned.observe(kept, rows)
         if self.sinks:
             with persisted(cleaned):
-                self._log(cleaned, batch_id)
+                self._log(cleaned, batch_id, stream)
                 for sink in self.sinks:
                     sink(cleaned)
         else:
-            self._log(cleaned, batch_id)
-        self._measure(
-            BatchMetrics(batch_id, taken.get["rows"], kept.get["rows"], monotonic() - started)
+            self._log(cleaned, batch_id, stream)
+        counts = taken.get
+        metrics = BatchMetrics(
+            batch_id, counts["rows"], kept.get["rows"], monotonic() - started, counts.get("rejected", 0), counts.get("damaged", 0)
         )
+        if self.metrics_root is not None:
+            write_metrics(batch.sparkSession, self.metrics_root, stream, metrics)
+        if self.on_metrics is not None:
+            self.on_metrics(metrics)
 
-    def _log(self, cleaned: DataFrame, batch_id: int) -> None:
+    def _log(self, cleaned: DataFrame, batch_id: int, stream: str) -> None:
         instant = (self.instant or _now)(batch_id)
         write_commit(
             cleaned,
@@ -89,13 +116,28 @@ class BatchJob:
             keys=self.keys,
             order=self.order,
             partition_by=self.partition_by,
+            stream=stream,
         )
 
-    def _measure(self, metrics: BatchMetrics) -> None:
-        self.history.append(metrics)
-        del self.history[: -self.keep_history]
-        if self.on_metrics is not None:
-            self.on_metrics(metrics)
+
+METRICS = "input_rows long, output_rows long, seconds double, rejected_rows long, damaged_rows long"
+
+
+def write_metrics(spark: SparkSession, root: str, stream: str, metrics: BatchMetrics) -> None:
+    """Store a batch's metrics; a batch that runs again replaces its own."""
+    row = (metrics.input_rows, metrics.output_rows, metrics.seconds, metrics.rejected_rows, metrics.damaged_rows)
+    folder = f"{root}/{STREAM}={stream}/{BATCH}={metrics.batch_id}"
+    spark.createDataFrame([row], METRICS).coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def read_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """The metrics of every batch of every stream under ``root``."""
+    return spark.read.schema(f"{METRICS}, {STREAM} string, {BATCH} long").parquet(root)
+
+
+def _query_id(batch: DataFrame) -> str:
+    """The id of the streaming query that runs the batch; it is kept in its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or DIRECT
 
 
 def _now(_: int) -> str:
@@ -139,10 +181,9 @@ def drain(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
-
-
 def progress(query: StreamingQuery) -> list[BatchMetrics]:
-    """What the engine itself recorded about recent batches of a query.
+    """What the engine still remembers about recent batches of a query; for all of them
+    store metrics (``metrics_root``).
 
     Rows written are known only to sinks that report them; the rest say -1.
     """

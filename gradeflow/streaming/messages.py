@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-Corrupt = Literal["drop", "keep", "route"]
+Corrupt = Literal["readable", "drop", "keep", "route"]
 CORRUPT = "corrupt_record"
 
 
@@ -40,8 +42,9 @@ def kafka_options(
     max_offsets_per_trigger: int | None = None,
     include_headers: bool = False,
     security_protocol: str | None = None,
+    extra: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
-    """Options of a Kafka subscription, for :func:`stream_source`."""
+    """Options of a Kafka subscription, for :func:`stream_source`; ``extra`` ones are passed as given."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -53,45 +56,54 @@ def kafka_options(
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     if security_protocol is not None:
         options["kafka.security.protocol"] = security_protocol
-    return options
+    return options | dict(extra or {})
 
 
 def parse_json_payload(
     messages: DataFrame,
     schema: T.StructType,
-    corrupt: Corrupt = "drop",
+    corrupt: Corrupt = "readable",
     payload: Column | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Messages to typed columns.
+    """Messages to typed columns, with the message columns that ``keep`` names.
 
-    A message that is not JSON of this shape is dropped, kept with whatever could
-    be read (``keep``: all NULL if nothing could), or kept together with its text
-    in ``corrupt_record`` for :func:`good` and :func:`bad` to tell apart
-    (``route``).
+    A field of the wrong type is NULL and the rest of its message stays. A message of
+    which nothing can be read is left out (``readable``), or kept with its text in
+    ``corrupt_record`` for :func:`good` and :func:`bad` to tell apart (``route``).
+    ``keep`` leaves a row for every message, ``drop`` only those without any fault.
     """
     value = F.col("value").cast("string") if payload is None else payload
     with_text = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     # As a generator the parser runs once per message: filters on its columns stay
     # above it instead of repeating it.
-    parsed = messages.select(F.inline(F.array(F.from_json(value, with_text, options))))
+    parsed = messages.select(*keep, F.inline(F.array(F.from_json(value, with_text, options))))
     match corrupt:
+        case "readable":
+            return good(parsed, keep)
         case "route":
             return parsed
         case "keep":
             return parsed.drop(CORRUPT)
         case "drop":
-            return good(parsed)
+            return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
         case _:
-            raise ValueError(f"corrupt must be drop, keep or route, not {corrupt!r}")
+            raise ValueError(f"corrupt must be readable, drop, keep or route, not {corrupt!r}")
 
 
-def good(routed: DataFrame) -> DataFrame:
-    return routed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+def unreadable(routed: DataFrame, keep: Sequence[str] = ()) -> Column:
+    """True for a faulty message of which no field could be read."""
+    nothing = [F.col(c).isNull() for c in routed.columns if c != CORRUPT and c not in keep]
+    return reduce(and_, nothing, F.col(CORRUPT).isNotNull())
 
 
-def bad(routed: DataFrame) -> DataFrame:
-    return routed.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+def good(routed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return routed.where(~unreadable(routed, keep)).drop(CORRUPT)
+
+
+def bad(routed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return routed.where(unreadable(routed, keep)).select(*keep, CORRUPT)
 
 
 def to_messages(df: DataFrame) -> DataFrame:

@@ -151,3 +151,21 @@ def test_partition_columns_keep_their_type(spark, tmp_path, batches):
 def test_missing_log_is_an_error_for_readers(spark, tmp_path, batches):
     with pytest.raises(AnalysisException):
         V.read_log(spark, f"{tmp_path}/none", batches[0].schema)
+
+
+def test_composite_keys_are_unambiguous(spark):
+    rows = [("a:b", "c"), ("a", "b:c"), ("a", None), (None, "a"), (None, None), ("", ""), ("-", "-")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    keys = [r.record_key for r in G.commit_rows(df, "2024-01-01", ["x", "y"]).collect()]
+    assert len(set(keys)) == len(rows)
+    assert {r.record_key for r in G.commit_rows(df, "2024-01-01", ["x"]).collect()} == {"a:b", "a", None, "", "-"}
+
+
+def test_reads_of_a_stored_log_skip_commits(spark, small_dir):
+    from gradeflow.catalog import storage
+
+    log = storage.stored_log(spark, small_dir)
+    plan = G.snapshot_as_of(log, "2024-02-15")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(commit_time" in plan
+    plan = G.retain_commits(log, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1

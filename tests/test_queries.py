@@ -4,6 +4,7 @@ import compare
 import pytest
 
 import __spark_entry__ as E
+from gradeflow.catalog import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,19 +12,20 @@ def con(small_dir):
     return compare.connect(small_dir)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, small_dir, con, name):
     found = E.queries()[name](spark, small_dir)
     assert compare.difference(found, con, E.oracle_sql()[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_unchecked_queries_return_rows(spark, small_dir, name):
     assert E.queries()[name](spark, small_dir).count() > 0
 
 
 def test_only_forests_lack_sql():
-    assert set(E.queries()) - set(E.oracle_sql()) == {"gwa_forecast", "gwa_forecast_metrics"}
+    assert set(QUERIES) - set(ORACLES) == {"gwa_forecast", "gwa_forecast_metrics"}
+    assert QUERIES.keys() <= E.queries().keys() and ORACLES.keys() <= E.oracle_sql().keys()
 
 
 def test_entry(spark):

@@ -33,11 +33,24 @@ def lines(spark, texts=LINES):
     return spark.createDataFrame([(t,) for t in texts], "value string")
 
 
-def test_drop(spark):
+def test_readable_rows_stay(spark):
     rows = M.parse_json_payload(lines(spark), SCHEMA).collect()
+    assert [(r["id"], r["n"]) for r in rows] == [(1, 1), (2, None), (3, None), (4, None)]
+
+
+def test_drop(spark):
+    rows = M.parse_json_payload(lines(spark), SCHEMA, "drop").collect()
     assert [r["id"] for r in rows] == [1, 2, 4]
 
 
+def test_message_columns_pass_the_parser(spark):
+    sent = lines(spark).selectExpr("value", "7 AS partition", "length(value) AS offset")
+    routed = M.parse_json_payload(sent, SCHEMA, "route", keep=["partition", "offset"])
+    assert routed.columns[:3] == ["partition", "offset", "id"]
+    assert [tuple(r) for r in M.bad(routed, ["partition", "offset"]).collect()] == [(7, 8, "not json")]
+    assert M.good(routed, ["partition", "offset"]).count() == 4
+
+
 def test_keep_leaves_a_row_for_every_message(spark):
     rows = M.parse_json_payload(lines(spark), SCHEMA, "keep").collect()
     assert len(rows) == 5
@@ -46,8 +59,8 @@ def test_keep_leaves_a_row_for_every_message(spark):
 
 def test_route(spark):
     routed = M.parse_json_payload(lines(spark), SCHEMA, "route")
-    assert [r["id"] for r in M.good(routed).collect()] == [1, 2, 4]
-    assert [r[0] for r in M.bad(routed).collect()] == [LINES[2], LINES[3]]
+    assert [r["id"] for r in M.good(routed).collect()] == [1, 2, 3, 4]
+    assert [r[0] for r in M.bad(routed).collect()] == [LINES[2]]
     with pytest.raises(ValueError):
         M.parse_json_payload(lines(spark), SCHEMA, "ignore")
 
@@ -64,7 +77,8 @@ def test_binary_value_and_round_trip(spark):
 
 
 def test_kafka_options():
-    options = M.kafka_options("h:9092", "t", max_offsets_per_trigger=50000)
+    options = M.kafka_options("h:9092", "t", max_offsets_per_trigger=50000, extra={"kafka.retries": "3"})
+    assert options["kafka.retries"] == "3"
     assert options["subscribe"] == "t"
     assert options["maxOffsetsPerTrigger"] == "50000"
     assert options["failOnDataLoss"] == "false"
@@ -105,22 +119,24 @@ def newest(spark, root):
 
 @pytest.mark.parametrize("parts", [[40], [10, 30], [13, 1, 26]])
 def test_result_does_not_depend_on_batches(spark, tmp_path, parts):
-    job, start = make_job(tmp_path), 0
+    seen, start = [], 0
+    job = make_job(tmp_path, on_metrics=seen.append)
     for size in parts:
         deliver(spark, f"{tmp_path}/in", ROWS[start : start + size])
         start += size
     run(spark, tmp_path, job)
-    assert [m.input_rows for m in job.history] == parts
+    assert [m.input_rows for m in seen] == parts
     assert newest(spark, tmp_path) == NEWEST
 
 
 def test_restart_goes_on_where_it_stopped(spark, tmp_path):
-    job = make_job(tmp_path)
+    seen = []
+    job = make_job(tmp_path, on_metrics=seen.append)
     for part in (ROWS[:15], ROWS[15:]):
         deliver(spark, f"{tmp_path}/in", part)
         run(spark, tmp_path, job)
     run(spark, tmp_path, job)
-    assert [m.batch_id for m in job.history] == [0, 1]
+    assert [m.batch_id for m in seen] == [0, 1]
     assert newest(spark, tmp_path) == NEWEST
 
 
@@ -133,10 +149,52 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert sorted(map(tuple, read_log(spark, f"{tmp_path}/log", SCHEMA).collect())) == before
 
 
-def test_empty_batch_is_skipped(spark, tmp_path):
+def test_another_checkpoint_keeps_the_batches_of_the_first(spark, tmp_path):
+    job = make_job(tmp_path, metrics_root=f"{tmp_path}/metrics")
+    deliver(spark, f"{tmp_path}/in", ROWS[:20])
+    run(spark, tmp_path, job)
+    deliver(spark, f"{tmp_path}/in", ROWS[20:])
+    stream = M.stream_source(spark, "text", {}, f"{tmp_path}/in")
+    B.drain(B.start_batches(M.parse_json_payload(stream, SCHEMA), job, f"{tmp_path}/other"))
+    log = read_log(spark, f"{tmp_path}/log", SCHEMA)
+    assert log.select("stream").distinct().count() == 2
+    assert newest(spark, tmp_path) == NEWEST
+    assert sorted(r.input_rows for r in B.read_metrics(spark, f"{tmp_path}/metrics").collect()) == [20, 40]
+
+
+def test_failed_replay_keeps_the_old_batch(spark, tmp_path):
     job = make_job(tmp_path)
+    job(spark.createDataFrame(ROWS, SCHEMA), 0)
+    broken = spark.createDataFrame(ROWS, SCHEMA).withColumn("n", F.when(F.col("id") < 6, F.col("n")).otherwise(F.raise_error(F.lit("lost"))))
+    with pytest.raises(Exception, match="lost"):
+        job(broken, 0)
+    assert newest(spark, tmp_path) == NEWEST
+
+
+def test_metrics_of_many_batches(spark, tmp_path):
+    from gradeflow.catalog.streams import _instant
+
+    for batch in (0, 99, 100, 101, 1001, 1001):
+        B.write_metrics(spark, str(tmp_path), "s", B.BatchMetrics(batch, batch, 1, 0.5, 2, 3))
+    found = B.read_metrics(spark, str(tmp_path)).orderBy("batch_id").collect()
+    assert [(r.batch_id, r.input_rows, r.rejected_rows, r.damaged_rows) for r in found] == [(n, n, 2, 3) for n in (0, 99, 100, 101, 1001)]
+    instants = [G.parse_instant(_instant(n)) for n in (0, 999, 1000, 1001, 100_000)]
+    assert instants == sorted(set(instants))
+
+
+def test_routed_batches_count_what_they_lose(spark, tmp_path):
+    seen, lost = [], []
+    job = make_job(tmp_path, on_metrics=seen.append, rejects=lambda df: lost.extend(r[0] for r in df.collect()))
+    job(M.parse_json_payload(lines(spark), SCHEMA, "route"), 0)
+    assert [(m.input_rows, m.rejected_rows, m.damaged_rows) for m in seen] == [(5, 1, 1)]
+    assert lost == ["not json"]
+
+
+def test_empty_batch_is_skipped(spark, tmp_path):
+    seen = []
+    job = make_job(tmp_path, on_metrics=seen.append)
     job(spark.createDataFrame([], SCHEMA), 0)
-    assert job.history == []
+    assert seen == []
     assert not (tmp_path / "log").exists()
 
 
