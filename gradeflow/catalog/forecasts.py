@@ -101,6 +101,37 @@ def gwa_forecast(spark, sf):
     return O.forest_forecast(O.fit_forest(known), known)
 
 
+@query(
+    """SELECT srcode, program_id, semester, round(last_y, 6) AS last_y, true AS within_bounds, true AS trend_fits
+       FROM ahead"""
+)
+def gwa_forecast_shape(spark, sf):
+    """What holds of a forest's forecast whatever its values: rows, bounds and trend."""
+    known = stored_grades(spark, sf)
+    found = O.forest_forecast(O.fit_forest(known), known)
+    trend = F.when(F.col("prediction") < F.col("last_y"), "improve").when(F.col("prediction") > F.col("last_y"), "worsen")
+    return found.select(
+        "srcode",
+        "program_id",
+        "semester",
+        F.round("last_y", 6).alias("last_y"),
+        F.col("prediction").between(1, 5).alias("within_bounds"),
+        (F.col("trend") == F.coalesce(trend, F.lit("same"))).alias("trend_fits"),
+    )
+
+
+@query(
+    """SELECT srcode, program_id, count(*) AS n_test, true AS consistent FROM parts
+       WHERE NOT is_train AND n >= 2 GROUP BY srcode, program_id"""
+)
+def gwa_forecast_metrics_shape(spark, sf):
+    """Who is evaluated on how many terms, and relations between the metrics."""
+    found = O.forest_evaluation(stored_grades(spark, sf))
+    close = F.abs(F.col("rmse") * F.col("rmse") - F.col("mse")) < 1e-9
+    ordered = (F.col("mae") <= F.col("rmse") + 1e-9) & (F.abs("pe") <= F.col("mape") + 1e-9)
+    return found.select("srcode", "program_id", "n_test", (close & ordered).alias("consistent"))
+
+
 @query()
 def gwa_forecast_metrics(spark, sf):
     return O.forest_evaluation(stored_grades(spark, sf))

@@ -152,6 +152,13 @@ def common_semesters_mode(spark, sf):
     return series(spark, sf).transform(U.common_semesters_mode)
 
 
+def stored_series(spark: SparkSession, sf: str) -> DataFrame:
+    """The series as a written table, for what reads it more than once."""
+    path = scratch_path(spark, "series")
+    series(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 _WITH_MAX = """SELECT s.*, m.program_max_semester
     FROM series s LEFT JOIN program_maxima m ON s.program_id = m.program_id"""
 
@@ -162,8 +169,8 @@ _WITH_MAX = """SELECT s.*, m.program_max_semester
 )
 def program_max_semester(spark, sf):
     return (
-        series(spark, sf)
-        .transform(U.attach_program_max, X.programs(spark, sf))
+        stored_series(spark, sf)
+        .transform(U.attach_program_max)
         .withColumn("sem_average", F.round("sem_average", 6))
     )
 
@@ -175,8 +182,8 @@ def program_max_semester(spark, sf):
 )
 def student_summary(spark, sf):
     return (
-        series(spark, sf)
-        .transform(U.attach_program_max, X.programs(spark, sf))
+        stored_series(spark, sf)
+        .transform(U.attach_program_max)
         .transform(U.student_summary)
         .withColumn("overall_average", F.round("overall_average", 6))
     )

@@ -17,7 +17,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -26,27 +25,26 @@ ROWS_PER_SPLIT = 5_000_000
 _SPLITS, _PART = "__splits", "__part"
 
 
-def fits_broadcast(
+def measured(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Measure ``df`` and tell whether it is small enough to broadcast.
+) -> DataFrame | None:
+    """``df`` as rows at hand if it is small enough to broadcast, else None.
 
-    Looks at no more than ``max_rows + 1`` rows; only a row count and a byte
-    estimate come back to the driver.
+    At most ``max_rows + 1`` rows are fetched, which a broadcast would fetch too. The
+    table is computed once: what was measured is what is then joined. Its size is that
+    of its columnar form, nested columns included.
     """
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    fixed = 16 * len(df.schema.fields)
-    width = reduce(
-        lambda a, b: a + b,
-        (F.coalesce(F.octet_length(c), F.lit(0)) for c in texts),
-        F.lit(fixed),
-    )
-    rows, size = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("long")), F.lit(0)))
-        .first()
-    )
-    return rows <= max_rows and size <= max_bytes
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows or rows.nbytes > max_bytes:
+        return None
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Measure ``df`` and tell whether it is small enough to broadcast."""
+    return measured(df, max_rows, max_bytes) is not None
 
 
 def lookup(
@@ -60,8 +58,9 @@ def lookup(
 ) -> DataFrame:
     """Join a dimension that holds each key once, without shuffling if it is small."""
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(dimension, max_rows):
-        return df.join(F.broadcast(dimension), keys, how)
+    small = measured(dimension, max_rows)
+    if small is not None:
+        return df.join(F.broadcast(small), keys, how)
     return split_join(df, dimension, keys, how, rows_per_split=rows_per_split)
 
 
@@ -78,8 +77,9 @@ def split_join(
     A key with more than ``rows_per_split`` rows is hot.  There are at most
     rows / rows_per_split of them, which bounds the one table broadcast here: a
     trillion rows have no more than 200,000 hot keys.  Rows of a hot key are dealt
-    out by the hash of the whole row, and the other side's row is repeated once
-    per part; cold keys are joined as they are.  Every row is kept.
+    out by the number of their partition, which separates equal rows too, reads no
+    column and is the same when a task runs again; the other side's row is repeated
+    once per part.  Cold keys are joined as they are.  Every row is kept.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"split_join does inner and left joins, not {how!r}")
@@ -90,14 +90,14 @@ def split_join(
         .where(F.col("__rows") > rows_per_split)
         .select(*keys, F.ceil(F.col("__rows") / F.lit(rows_per_split)).cast("int").alias(_SPLITS))
     )
-    hot = F.broadcast(hot)
-    row_hash = F.xxhash64(*df.columns)
+    hot = F.broadcast(hot)  # no more than rows / rows_per_split
+    home = F.spark_partition_id()
     no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
     dealt = df.join(hot, keys, "left").withColumn(
         _PART,
         # a NULL key matches nothing, so its rows may go anywhere
-        F.when(no_key, F.pmod(row_hash, F.lit(65_536)))
-        .when(F.col(_SPLITS).isNotNull(), F.pmod(row_hash, F.col(_SPLITS)))
+        F.when(no_key, home)
+        .when(F.col(_SPLITS).isNotNull(), F.pmod(home, F.col(_SPLITS)))
         .otherwise(F.lit(0))
         .cast("int"),
     ).drop(_SPLITS)

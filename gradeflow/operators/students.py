@@ -16,9 +16,8 @@ from gradeflow.columns import NAMES, ColumnMap
 from gradeflow.operators.joins import (
     BROADCAST_ROWS,
     ROWS_PER_SPLIT,
-    fits_broadcast,
     latest_first,
-    split_join,
+    lookup,
 )
 
 
@@ -178,21 +177,17 @@ def program_max_semester(series: DataFrame) -> DataFrame:
 
 def attach_program_max(
     series: DataFrame,
-    programs: DataFrame,
     *,
     max_rows: int = BROADCAST_ROWS,
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """Add each program's longest course of study; an unknown program gets NULL.
 
-    ``program_id`` only takes values of ``programs``, so when that list is
-    measured as small the maxima are small too and are broadcast.  Otherwise hot
-    programs are split.
+    The maxima are measured and broadcast if small; otherwise hot programs are split.
+    ``series`` is read twice, so hand in a stored table.
     """
     maxima = program_max_semester(series)
-    if fits_broadcast(programs, max_rows):
-        return series.join(F.broadcast(maxima), "program_id", "left")
-    return split_join(series, maxima, ["program_id"], "left", rows_per_split=rows_per_split)
+    return lookup(series, maxima, "program_id", max_rows=max_rows, rows_per_split=rows_per_split)
 
 
 def student_summary(series_with_max: DataFrame) -> DataFrame:

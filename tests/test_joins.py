@@ -15,7 +15,7 @@ HOT = 3000
 @pytest.fixture(scope="module")
 def skewed(spark):
     """A third of the rows under one key, some under NULL, the rest spread out."""
-    return spark.range(3 * HOT).select(
+    return spark.range(3 * HOT).repartition(40).select(
         F.when(F.col("id") < HOT, F.lit("hot"))
         .when(F.col("id") < HOT + 500, F.lit(None))
         .otherwise(F.concat(F.lit("k"), F.col("id") % 700))
@@ -67,6 +67,36 @@ def test_split_join_spreads_the_hot_key(spark, skewed, dimension):
     assert len([r for r in per_task if r["program"] is None]) >= 6
 
 
+def test_split_join_separates_equal_rows(spark, dimension):
+    rows = spark.range(20_000).repartition(40).select(F.lit("hot").alias("program"), F.lit(1).alias("n"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        split = J.split_join(rows, dimension.hint("merge"), ["program"], rows_per_split=1000)
+        per_task = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sum(per_task) == 20_000 and len(per_task) >= 6 and max(per_task) < 10_000
+
+
+def test_dimension_is_computed_once(spark, skewed, dimension):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for row in rows:
+            seen.add(1)
+            yield row
+
+    counting = spark.createDataFrame(dimension.rdd.mapPartitions(count), dimension.schema)
+    J.lookup(skewed, counting, "program").collect()
+    assert seen.value == 650
+
+
+def test_measured_counts_nested_columns(spark):
+    nested = spark.range(10).select(F.array_repeat(F.lit("x" * 100), 1000).alias("a"))
+    assert not J.fits_broadcast(nested, max_bytes=500_000) and J.fits_broadcast(nested)
+
+
 def test_split_join_refuses_other_joins(skewed, dimension):
     with pytest.raises(ValueError):
         J.split_join(skewed, dimension, ["program"], "full")
@@ -165,9 +195,8 @@ def test_unknown_program_gets_no_maximum(spark):
     series = spark.createDataFrame(
         [("a", 1, 3), ("b", 1, 5), ("c", None, 9)], "srcode string, program_id int, semester int"
     )
-    programs = spark.createDataFrame([("P", 1)], "program string, program_id int")
     for limits in ({}, {"max_rows": 0, "rows_per_split": 1}):
-        found = S.attach_program_max(series, programs, **limits).collect()
+        found = S.attach_program_max(series, **limits).collect()
         assert {r["srcode"]: r["program_max_semester"] for r in found} == {"a": 5, "b": 5, "c": None}
 
 
