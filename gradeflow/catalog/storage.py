@@ -12,7 +12,6 @@ from gradeflow.catalog import steps as S
 from gradeflow.catalog.registry import query
 from gradeflow.columns import RAW_GRADES
 from gradeflow.operators import changelog as G
-from gradeflow.operators.students import latest_record
 from gradeflow.plans import fixtures as X
 from gradeflow.sources import relational, tables, versioned
 from gradeflow.sources.scratch import configured, is_local, scratch_path
@@ -98,15 +97,15 @@ def relational_upsert(spark, sf):
     newer = F.year("updated_at") >= 1998
     first, second = raw.where(~newer), raw.where(newer)
     for batch in (first, second):
-        rows = latest_record(batch, ["id"], X.VERSION).select(*columns)
         relational.stage_and_merge(
-            rows,
+            batch,
             url,
             name,
             properties,
             execute,
             keys=["id"],
-            order=["row_key"],
+            order=X.VERSION,
+            columns=columns,
         )
     return tables.read_jdbc(spark, url, name, properties, partition_column="id", partitions=8)
 
