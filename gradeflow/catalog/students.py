@@ -242,3 +242,20 @@ def course_careers(spark, sf):
 )
 def course_careers_all(spark, sf):
     return careers_plan.all_careers(cleaned(spark, sf), X.career_documents(spark, sf))
+
+
+@query(
+    """SELECT srcode, description, grade_numeric, career, map_program, sha256(concat("""
+    + ", ".join(
+        f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(length(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)) END"
+        for c in ("map_program", *careers_plan.RECORD)
+    )
+    + """)) AS uuid FROM (SELECT srcode, c.description, grade_numeric, career, map_program FROM cleaned c
+       JOIN career_list m ON c.description = m.description) careers"""
+)
+def career_tables(spark, sf):
+    """The career rows, written as one folder per program map with repeatable keys and read back."""
+    path = scratch_path(spark, "career-tables")
+    found = careers_plan.all_careers(cleaned(spark, sf), X.career_documents(spark, sf))
+    careers_plan.write_careers(found, path)
+    return spark.read.parquet(path).select(*careers_plan.RECORD, "map_program", "uuid")
