@@ -13,7 +13,7 @@ from gradeflow.llm.common import stored, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Shares of tokens in the corpus: documents that are not toxic, and toxic ones.
-TARGETS = (0.99, 0.01)
+TARGETS = (0.98, 0.02)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,11 +34,11 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix asks for.
 
-    The mix keeps the number of tokens. Documents that are not toxic thus have rates of
-    one and more and all stay; toxic ones make room.
+    The mix keeps the number of tokens: toxic documents make room for the others. Those
+    that are mainly not toxic all stay, once at least.
     """
     labels = table(spark, sf_dir, "labels").select("doc_id", F.expr("CASE WHEN toxic IN (0, 1) THEN toxic END").alias("domain"))
-    return mixing.resampled(docs, labels, list(TARGETS))
+    return mixing.resampled(docs, labels, list(TARGETS), keep=[0])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,6 +19,8 @@ documents and labels with nulls are ignored; without labels the memberships are
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
 from math import log, sqrt
 
 import numpy as np
@@ -32,8 +34,10 @@ TRAIN_ROWS = 20_000
 BUCKETS = 1 << 17
 #: Occurrences that a word needs to weigh much.
 SMOOTH = 3.0
-#: Log odds below this say little about a word; over a long text they would add up.
+#: Log odds from which on a word tells domains apart.
 CLEAR = log(2)
+#: The root of the length up to which evidence counts in full.
+DAMP = 8.0
 GRID = 64
 STEPS = 80
 CLOSE = 1e-6
@@ -44,6 +48,12 @@ def words_of(text: str = "text") -> Column:
     return F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), SPLIT)
 
 
+def tokens_of(words: str) -> Column:
+    """How many there are: a split leaves empty texts at its ends only."""
+    ends = [(F.try_element_at(words, F.lit(i)) == "").cast("int") for i in (1, -1)]
+    return F.when(F.size(words) > 1, F.size(words) - ends[0] - ends[1]).otherwise(1 - ends[0]).cast("long")
+
+
 def bucket_of(word: str = "word") -> Column:
     return F.when(F.col(word) != "", F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int"))
 
@@ -55,12 +65,27 @@ def text_hash() -> Column:
 # -- membership ---------------------------------------------------------------------
 
 
-def fit(docs: DataFrame, labels: DataFrame, n_domains: int, train_rows: int = TRAIN_ROWS) -> tuple[DataFrame, list[float]]:
-    """Weights by bucket (columns w0, w1, ...) and the log priors; ``labels``: doc_id, domain from 0."""
+@dataclass
+class Classifier:
+    """weights: bucket, w0, w1, ... of the telling words; other: of all other words; priors: logs."""
+
+    weights: DataFrame
+    other: list[float]
+    priors: list[float]
+
+
+def fit(docs: DataFrame, labels: DataFrame, n_domains: int, train_rows: int = TRAIN_ROWS) -> Classifier:
+    """A classifier from ``labels`` (doc_id, domain from 0).
+
+    Words that tell domains apart have weights of their own; all others are one word in
+    common, so that a text without telling words speaks against the domains that have
+    many, while small differences of common words do not add up. A document counts each
+    of its words once.
+    """
     known = labels.where("doc_id IS NOT NULL AND domain IS NOT NULL").groupBy("doc_id").agg(F.max("domain").alias("domain"))
     sample = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows), "labelled")
     own = [F.sum((F.col("domain") == k).cast("long")) for k in range(n_domains)]
-    words = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("domain", F.explode(words_of()).alias("word"))
+    words = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("domain", F.explode(F.array_distinct(words_of())).alias("word"))
     counts = stored(
         words.select("domain", bucket_of().alias("bucket"))
         .where("bucket IS NOT NULL")
@@ -73,27 +98,31 @@ def fit(docs: DataFrame, labels: DataFrame, n_domains: int, train_rows: int = TR
     every = sum((F.col(f"c{k}") for k in range(1, n_domains)), F.col("c0"))
     share = [n / max(1, sum(totals)) for n in totals]
     odds = [F.log((F.col(f"c{k}") + SMOOTH) / (every * s + SMOOTH)) for k, s in enumerate(share)]  # found against expected
-    clear = [F.when(F.abs(x) >= CLEAR, x).otherwise(0.0) for x in odds]
-    weights = counts.select("bucket", *[x.alias(f"w{k}") for k, x in enumerate(clear)])
-    return stored(weights, "weights"), [log((r + 1) / (sum(rows) + n_domains)) for r in rows]
+    tells = F.greatest(*[F.abs(x) for x in odds], F.lit(0.0)) >= CLEAR
+    weights = counts.where(tells).select("bucket", *[x.alias(f"w{k}") for k, x in enumerate(odds)])
+    rest = [x or 0 for x in counts.where(~tells).agg(*[F.sum(f"c{k}") for k in range(n_domains)]).first()]
+    other = [log((c + SMOOTH) / (sum(rest) * s + SMOOTH)) for c, s in zip(rest, share, strict=True)]
+    return Classifier(stored(weights, "weights"), other, [log((r + 1) / (sum(rows) + n_domains)) for r in rows])
 
 
-def memberships(docs: DataFrame, weights: DataFrame, priors: list[float]) -> DataFrame:
+def memberships(docs: DataFrame, known: Classifier) -> DataFrame:
     """Per row of ``docs``: doc_id, th, n_tokens and q0, q1, ...: memberships in units of 1/GRID.
 
-    A document's evidence is divided by the root of its length: words are not
-    independent, and undamped sums would leave no membership between none and all.
+    A long document's evidence is damped: words are not independent, and undamped sums
+    would leave no membership between none and all.
     """
+    priors = known.priors
     domains = range(len(priors))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_hash().alias("th"), "text")
-    words = rows.select("row", "doc_id", "th", F.explode(words_of()).alias("word"))
+    evidence = [F.when(F.col("bucket").isNotNull(), F.coalesce(F.col(f"w{k}"), F.lit(known.other[k]))) for k in domains]
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_hash().alias("th"), words_of().alias("all"))
+    words = rows.select("row", "doc_id", "th", tokens_of("all").alias("n_tokens"), F.explode(F.array_distinct("all")).alias("word"))
     scored = (
-        words.select("row", "doc_id", "th", bucket_of().alias("bucket"))
-        .join(F.broadcast(weights), "bucket", "left")
-        .groupBy("row", "doc_id", "th")
-        .agg(F.count("bucket").alias("n_tokens"), *[F.coalesce(F.sum(f"w{k}"), F.lit(0.0)).alias(f"s{k}") for k in domains])
+        words.select("row", "doc_id", "th", "n_tokens", bucket_of().alias("bucket"))
+        .join(F.broadcast(known.weights), "bucket", "left")
+        .groupBy("row", "doc_id", "th", "n_tokens")
+        .agg(*[F.coalesce(F.sum(x), F.lit(0.0)).alias(f"s{k}") for k, x in enumerate(evidence)])
     )
-    damped = F.greatest(F.lit(1.0), F.sqrt("n_tokens") / 2)
+    damped = F.greatest(F.lit(1.0), F.sqrt("n_tokens") / DAMP)
     score = [F.col(f"s{k}") / damped + priors[k] for k in domains]
     scored = scored.select("doc_id", "th", "n_tokens", *[x.alias(f"x{k}") for k, x in enumerate(score)])
     top = F.greatest(*[F.col(f"x{k}") for k in domains]) if len(priors) > 1 else F.col("x0")
@@ -180,14 +209,21 @@ def copies(rate_column: str = "rate", key: str = "doc_id") -> Column:
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: list[float]) -> DataFrame:
     """doc_id, th, n_tokens, q0.., rate and copies of every row of ``docs``."""
-    weights, priors = fit(docs, labels, len(targets))
-    scored = stored(memberships(docs, weights, priors), "memberships")
+    scored = stored(memberships(docs, fit(docs, labels, len(targets))), "memberships")
     return scored.withColumn("rate", rate(fit_rates(scored, targets))).withColumn("copies", copies())
 
 
-def resampled(docs: DataFrame, labels: DataFrame, targets: list[float]) -> DataFrame:
-    """``docs`` with every row as often as its rate says; columns as they are."""
-    found = mixed(docs, labels, targets).select("doc_id", "th", "copies").distinct()
+def resampled(docs: DataFrame, labels: DataFrame, targets: list[float], keep: Sequence[int] = ()) -> DataFrame:
+    """``docs`` with every row as often as its rate says; columns as they are.
+
+    Documents that belong mainly to a domain in ``keep`` are taken once at least, whatever
+    share of the others' membership they have.
+    """
+    scored = mixed(docs, labels, targets)
+    for k in keep:
+        own = F.col(f"q{k}") > GRID // 2
+        scored = scored.withColumn("copies", F.when(own, F.greatest("copies", F.lit(1))).otherwise(F.col("copies")))
+    found = scored.select("doc_id", "th", "copies").distinct()
     row = F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias("row")
     keyed = docs.select(row, F.col("doc_id").alias("d"), text_hash().alias("t"))
     both = keyed.join(found, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("th")))

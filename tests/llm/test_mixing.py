@@ -16,8 +16,7 @@ def test_held_out_accuracy(spark):
     docs, labels = tables(spark)
     known = labels.where("domain IS NOT NULL")
     train, test = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) > 0), known.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0)
-    weights, priors = mixing.fit(docs, train, 3)
-    scored = mixing.memberships(docs, weights, priors).join(test, "doc_id").collect()
+    scored = mixing.memberships(docs, mixing.fit(docs, train, 3)).join(test, "doc_id").collect()
     right = [(r.domain, int(np.argmax([r.q0, r.q1, r.q2])) == r.domain) for r in scored]
     assert len(right) > 1000 and np.mean([ok for _, ok in right]) >= 0.85
     assert np.mean([ok for domain, ok in right if domain == 0]) >= 0.98  # plain documents are left alone
