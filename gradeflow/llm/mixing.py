@@ -1,8 +1,9 @@
 """Mixing documents to target weights of domains that are known for some of them only.
 
 A table of labels says to which domain some documents belong. A naive Bayes classifier
-over hashed words, fitted on a bounded sample of labelled rows, gives every document a
-membership in each domain. Document rates are then fitted by projected gradient least
+over hashed words and a few measures of a text's shape (capitals, symbols, repetition),
+fitted on a bounded sample of labelled rows, gives every document a membership in each
+domain. Document rates are then fitted by projected gradient least
 squares: nonnegative, and such that the expected tokens of every domain meet its target.
 
 All of it is DataFrame and SQL functions. Words are counted by bucket (a bounded table,
@@ -42,6 +43,10 @@ GRID = 64
 STEPS = 80
 CLOSE = 1e-6
 SPLIT = r"[\s.,;:!?()\"']+"
+#: What a text's letters, digits and white space leave, and all of that but capitals.
+SMALL, NO_CAPITAL = r"[\p{Ll}\p{Lo}\p{M}\p{N}\s]+", r"[^\p{Lu}]+"
+#: Steps in which a measure of shape is told.
+BINS = 32
 
 
 def words_of(text: str = "text") -> Column:
@@ -62,16 +67,54 @@ def text_hash() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
+#: Columns of the steps, one for each measure of shape.
+SHAPE = ["capitals", "symbols", "bars", "again", "variety"]
+
+
+def shaped(texts: DataFrame) -> DataFrame:
+    """``texts`` (text, all: its words) with the step of each measure of its shape, in 0 .. BINS.
+
+    They tell what words, each counted once and in small letters, do not: the shares of
+    capitals, of symbols and of bars among the characters, of words that repeat the word
+    before, and the logarithm of the number of distinct words as a share of that of all
+    words, which depends little on the length. Null if the text is.
+    """
+    # one projection after the other, so that nothing is worked out twice
+    rest = texts.withColumn("rest", F.regexp_replace("text", SMALL, ""))
+    size, length = F.size("all"), F.greatest(F.length("text"), F.lit(1))
+    same = F.zip_with(F.slice("all", F.lit(2), size), F.col("all"), lambda x, y: x == y)
+    counts = rest.select(
+        *texts.columns,
+        F.length(F.regexp_replace("rest", NO_CAPITAL, "")).alias("n_capitals"),
+        F.length("rest").alias("n_rest"),
+        F.length(F.replace(F.col("rest"), F.lit("|"))).alias("n_no_bars"),
+        F.size(F.filter(same, lambda x: x)).alias("n_again"),
+        F.size(F.array_distinct("all")).alias("n_distinct"),
+    )
+    shares = [
+        F.sqrt(F.col("n_capitals") / length),
+        F.sqrt((F.col("n_rest") - F.col("n_capitals")) / length),
+        F.sqrt((F.col("n_rest") - F.col("n_no_bars")) / length),
+        F.when(F.col("text").isNotNull(), F.sqrt(F.col("n_again") / size)),
+        F.when(F.col("text").isNotNull(), F.log(F.col("n_distinct") + F.lit(1.0)) / F.log(size + F.lit(1.0))),
+    ]
+    return counts.select(*texts.columns, *[F.floor(x * BINS).cast("int").alias(name) for name, x in zip(SHAPE, shares, strict=True)])
+
+
 # -- membership ---------------------------------------------------------------------
 
 
 @dataclass
 class Classifier:
-    """weights: bucket, w0, w1, ... of the telling words; other: of all other words; priors: logs."""
+    """weights: bucket, w0, w1, ... of the telling words; other: of all other words; priors: logs.
+
+    shape: for each domain and measure of shape, the log odds of its steps.
+    """
 
     weights: DataFrame
     other: list[float]
     priors: list[float]
+    shape: list[list[list[float]]]
 
 
 def fit(docs: DataFrame, labels: DataFrame, n_domains: int, train_rows: int = TRAIN_ROWS) -> Classifier:
@@ -80,12 +123,14 @@ def fit(docs: DataFrame, labels: DataFrame, n_domains: int, train_rows: int = TR
     Words that tell domains apart have weights of their own; all others are one word in
     common, so that a text without telling words speaks against the domains that have
     many, while small differences of common words do not add up. A document counts each
-    of its words once.
+    of its words once. The shape of a text is told by steps (BINS for each measure), which
+    weigh by themselves and are not damped.
     """
     known = labels.where("doc_id IS NOT NULL AND domain IS NOT NULL").groupBy("doc_id").agg(F.max("domain").alias("domain"))
     sample = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows), "labelled")
     own = [F.sum((F.col("domain") == k).cast("long")) for k in range(n_domains)]
-    words = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("domain", F.explode(F.array_distinct(words_of())).alias("word"))
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("domain", "text", words_of().alias("all"))
+    words = texts.select("domain", F.explode(F.array_distinct("all")).alias("word"))
     counts = stored(
         words.select("domain", bucket_of().alias("bucket"))
         .where("bucket IS NOT NULL")
@@ -102,7 +147,19 @@ def fit(docs: DataFrame, labels: DataFrame, n_domains: int, train_rows: int = TR
     weights = counts.where(tells).select("bucket", *[x.alias(f"w{k}") for k, x in enumerate(odds)])
     rest = [x or 0 for x in counts.where(~tells).agg(*[F.sum(f"c{k}") for k in range(n_domains)]).first()]
     other = [log((c + SMOOTH) / (sum(rest) * s + SMOOTH)) for c, s in zip(rest, share, strict=True)]
-    return Classifier(stored(weights, "weights"), other, [log((r + 1) / (sum(rows) + n_domains)) for r in rows])
+    shape = shape_odds(stored(shaped(texts).select("domain", *SHAPE), "shapes"), n_domains)
+    return Classifier(stored(weights, "weights"), other, [log((r + 1) / (sum(rows) + n_domains)) for r in rows], shape)
+
+
+def shape_odds(texts: DataFrame, n_domains: int) -> list[list[list[float]]]:
+    """For each domain and measure, the log odds of its steps. ``texts``: domain and SHAPE."""
+    counts = np.zeros((n_domains, len(SHAPE), BINS + 1))
+    known = texts.where(F.col("domain").between(0, n_domains - 1))
+    for m, name in enumerate(SHAPE):
+        for r in known.where(F.col(name).isNotNull()).groupBy("domain", name).count().collect():
+            counts[r["domain"], m, r[name]] = r["count"]
+    share = counts.sum(2, keepdims=True) / np.maximum(1, counts.sum((0, 2)))[None, :, None]
+    return np.log((counts + SMOOTH) / (counts.sum(0) * share + SMOOTH)).tolist()
 
 
 def memberships(docs: DataFrame, known: Classifier) -> DataFrame:
@@ -114,16 +171,21 @@ def memberships(docs: DataFrame, known: Classifier) -> DataFrame:
     priors = known.priors
     domains = range(len(priors))
     evidence = [F.when(F.col("bucket").isNotNull(), F.coalesce(F.col(f"w{k}"), F.lit(known.other[k]))) for k in domains]
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_hash().alias("th"), words_of().alias("all"))
-    words = rows.select("row", "doc_id", "th", tokens_of("all").alias("n_tokens"), F.explode(F.array_distinct("all")).alias("word"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_hash().alias("th"), "text", words_of().alias("all"))
+    rows = shaped(rows.select("row", "doc_id", "th", "text", "all", tokens_of("all").alias("n_tokens")))
+    odds = [[F.get(F.array(*map(F.lit, odds)), F.col(name)) for name, odds in zip(SHAPE, known.shape[k], strict=True)] for k in domains]
+    looks = [sum((F.coalesce(x, F.lit(0.0)) for x in odds[k]), F.lit(0.0)).alias(f"h{k}") for k in domains]
+    keys = ["row", "doc_id", "th", "n_tokens", *[f"h{k}" for k in domains]]
+    rows = rows.select("row", "doc_id", "th", "n_tokens", *looks, "all")
+    words = rows.select(*keys, F.explode(F.array_distinct("all")).alias("word"))
     scored = (
-        words.select("row", "doc_id", "th", "n_tokens", bucket_of().alias("bucket"))
+        words.select(*keys, bucket_of().alias("bucket"))
         .join(F.broadcast(known.weights), "bucket", "left")
-        .groupBy("row", "doc_id", "th", "n_tokens")
+        .groupBy(*keys)
         .agg(*[F.coalesce(F.sum(x), F.lit(0.0)).alias(f"s{k}") for k, x in enumerate(evidence)])
     )
     damped = F.greatest(F.lit(1.0), F.sqrt("n_tokens") / DAMP)
-    score = [F.col(f"s{k}") / damped + priors[k] for k in domains]
+    score = [F.col(f"s{k}") / damped + F.col(f"h{k}") + priors[k] for k in domains]
     scored = scored.select("doc_id", "th", "n_tokens", *[x.alias(f"x{k}") for k, x in enumerate(score)])
     top = F.greatest(*[F.col(f"x{k}") for k in domains]) if len(priors) > 1 else F.col("x0")
     scored = scored.select("doc_id", "th", "n_tokens", *[F.exp(F.col(f"x{k}") - top).alias(f"e{k}") for k in domains])

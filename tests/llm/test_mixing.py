@@ -23,6 +23,33 @@ def test_held_out_accuracy(spark):
     assert all(r.q0 + r.q1 + r.q2 == mixing.GRID and min(r.q0, r.q1, r.q2) >= 0 for r in scored)
 
 
+def test_held_out_recall_of_each_domain(spark):
+    docs, labels = tables(spark)
+    known = labels.where("domain IS NOT NULL")
+    train, test = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) > 0), known.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0)
+    scored = mixing.memberships(docs, mixing.fit(docs, train, 3)).join(test, "doc_id").collect()
+    told = np.zeros((3, 3), int)
+    for r in scored:
+        told[r.domain, int(np.argmax([r.q0, r.q1, r.q2]))] += 1
+    assert (np.diag(told) / told.sum(1) >= [0.98, 0.65, 0.85]).all()
+    tokens = np.array([r.n_tokens for r in scored])
+    labelled = tokens[[r.domain == 2 for r in scored]].sum() / tokens.sum()
+    assert (tokens * [r.q2 for r in scored]).sum() / mixing.GRID / tokens.sum() >= 0.8 * labelled
+
+
+def test_shape_tells_capitals_symbols_and_repetition(spark):
+    plain = "some words of a plain text that goes on, as texts do, for a line or two."
+    texts = [plain, plain.upper(), plain.replace(" ", " | "), "Der " * 15, None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("all", mixing.words_of())
+    found = {r.doc_id: [r[x] for x in mixing.SHAPE] for r in mixing.shaped(docs).collect()}
+    capitals, symbols, bars, again, variety = range(5)
+    assert found[1][capitals] > found[0][capitals] == 0 and found[1][symbols] == found[0][symbols]
+    assert found[2][bars] > found[0][bars] == 0 and found[2][symbols] > found[0][symbols]
+    assert found[3][again] > found[0][again] == 0 and found[3][variety] < found[0][variety]
+    assert found[4] == [None] * 5
+    assert all(0 <= x <= mixing.BINS for i in (0, 1, 2, 3, 5) for x in found[i])
+
+
 def test_rates_meet_targets(spark, small_dir):
     found = QUERIES["op7_mixing"](spark, small_dir).collect()
     tokens = np.array([r.n_tokens for r in found])
