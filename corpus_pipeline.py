@@ -12,8 +12,8 @@ from gradeflow.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Shares of tokens in the corpus: documents that are not toxic, and toxic ones.
-TARGETS = (0.98, 0.02)
+#: Shares of tokens in the corpus: documents that are not toxic, and toxic ones, which go.
+TARGETS = (1.0, 0.0)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents as often as the mix asks for.
 
     The mix keeps the number of tokens: toxic documents make room for the others. Those
-    that are mainly not toxic all stay, once at least.
+    that are mainly toxic all go; those that are mainly not toxic all stay, once at least.
     """
     labels = table(spark, sf_dir, "labels").select("doc_id", F.expr("CASE WHEN toxic IN (0, 1) THEN toxic END").alias("domain"))
     return mixing.resampled(docs, labels, list(TARGETS), keep=[0])

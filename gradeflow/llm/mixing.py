@@ -270,9 +270,15 @@ def copies(rate_column: str = "rate", key: str = "doc_id") -> Column:
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: list[float]) -> DataFrame:
-    """doc_id, th, n_tokens, q0.., rate and copies of every row of ``docs``."""
+    """doc_id, th, n_tokens, q0.., rate and copies of every row of ``docs``.
+
+    Documents that belong mainly to a domain of target 0 are not taken, whatever their rate.
+    """
     scored = stored(memberships(docs, fit(docs, labels, len(targets))), "memberships")
-    return scored.withColumn("rate", rate(fit_rates(scored, targets))).withColumn("copies", copies())
+    found = scored.withColumn("rate", rate(fit_rates(scored, targets))).withColumn("copies", copies())
+    for k in (k for k, target in enumerate(targets) if target == 0):
+        found = found.withColumn("copies", F.when(F.col(f"q{k}") > GRID // 2, F.lit(0)).otherwise(F.col("copies")))
+    return found
 
 
 def resampled(docs: DataFrame, labels: DataFrame, targets: list[float], keep: Sequence[int] = ()) -> DataFrame:

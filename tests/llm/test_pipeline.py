@@ -73,6 +73,18 @@ def test_stages(spark, small_dir):
     assert np.all([r.length <= 1024 for r in rows])
 
 
+def test_recognised_toxic_documents_go(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").selectExpr("doc_id", "toxic AS domain")
+    scored = stored(mixing.memberships(docs, mixing.fit(docs, labels, 2)), "scored").collect()
+    taken = Counter(r.doc_id for r in P.source_mixing(spark, docs, folder).select("doc_id").collect())
+    toxic = [r.doc_id for r in scored if r.q1 > 32]
+    print("toxic", len(toxic), "taken", sum(taken[i] for i in toxic), "all", len(scored), sum(taken.values()))
+    assert len(toxic) > 100 and not any(taken[i] for i in toxic)
+    assert all(taken[r.doc_id] for r in scored if r.q0 > 32)
+
+
 def test_run_is_the_stages(spark, small_dir):
     assert P.ORACLE_SQL is None
     found = P.run(spark, small_dir)
