@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeflow.llm import embeddings, licenses, mixing, packing, quality, simhash, substrings, suffixes, tokencount, warc
+from gradeflow.llm import (
+    bpe,
+    clustering,
+    embeddings,
+    licenses,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    substrings,
+    suffixes,
+    tokencount,
+    vectorcodes,
+    warc,
+)
 from gradeflow.llm.common import table
 
 QUERIES = {}
@@ -266,3 +280,87 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mixed(table(spark, sf_dir, "documents"), domains(spark, sf_dir), list(TARGETS))
     shares = [(F.col(f"q{k}") / mixing.GRID).alias(f"p_{name}") for k, name in enumerate(DOMAINS)]
     return found.select("doc_id", "n_tokens", *shares, "rate", "copies")
+
+
+@query()
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the text that they decode to, as digests."""
+    found = bpe.encoded(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
+        F.sha2(bpe.decoded(F.col("ids")), 256).alias("decoded_sha256"),
+    )
+
+
+def whole_vectors(unit: int, usable: str) -> str:
+    """SQL of the vectors as integers: r numbers the rows, v holds floor(unit * x)."""
+    return f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor({unit} * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE {usable} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)"""
+
+
+def sql_rounds(size: int, entries: int, rounds: int) -> str:
+    """SQL of the rounds over ``pieces0`` (r, p, v) and ``book0`` (p, c, m), up to near{rounds} and book{rounds}."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (
+  SELECT r, p, any_value(v) AS v, min(CAST(list_inner_product(v, v) - 2 * list_inner_product(v, m) + list_inner_product(m, m) AS BIGINT) * {entries} + c) AS z
+  FROM pieces0 JOIN book{k} USING (p) GROUP BY r, p
+)""")
+        if k < rounds:
+            steps.append(f"""sums{k} AS (
+  SELECT p, z % {entries} AS c, j, sum(x) AS s, count(*) AS n
+  FROM (SELECT p, z, unnest(v) AS x, unnest(range({size})) AS j FROM near{k}) GROUP BY ALL
+), book{k + 1} AS MATERIALIZED (
+  SELECT p, c, coalesce(new.m, book{k}.m) AS m FROM book{k} LEFT JOIN (
+    SELECT p, c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS m FROM sums{k} GROUP BY p, c
+  ) AS new USING (p, c)
+)""")
+    return ", ".join(steps)
+
+
+@query(
+    f"""
+WITH {whole_vectors(clustering.UNIT, "len(embedding) = 64")}, pieces0 AS (
+  SELECT r, 0 AS p, v FROM kept
+), book0 AS MATERIALIZED (
+  SELECT 0 AS p, row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1 AS c, v AS m FROM kept
+  QUALIFY c < {clustering.CLUSTERS}
+), {sql_rounds(64, clustering.CLUSTERS, clustering.ROUNDS)}, found AS (
+  SELECT r, CAST(z % 16 AS INTEGER) AS cluster, z // 16 AS distance FROM near3
+)
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM kept JOIN found USING (r) JOIN book3 ON c = cluster
+"""
+)
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every whole vector of 64 components, after three rounds."""
+    return clustering.clustered(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    f"""
+WITH {whole_vectors(vectorcodes.UNIT, "len(embedding) > 0 AND len(embedding) % 8 = 0")}, pieces0 AS (
+  SELECT r, p, list_slice(v, p * len(v) // 8 + 1, (p + 1) * len(v) // 8) AS v FROM (SELECT r, v, unnest(range(8)) AS p FROM kept)
+), book0 AS MATERIALIZED (
+  SELECT p, c, pieces0.v AS m
+  FROM pieces0 JOIN (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS c FROM kept) USING (r)
+  WHERE c < {vectorcodes.ENTRIES}
+), {sql_rounds(8, vectorcodes.ENTRIES, vectorcodes.ROUNDS)}, found AS (
+  SELECT r, string_agg(printf('%02x', z % 16), '' ORDER BY p) AS code, CAST(sum(z // 16) AS BIGINT) AS error
+  FROM near6 GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(m, ','), ',' ORDER BY p, c)) FROM book6) AS codebooks_sha256
+FROM kept JOIN found USING (r)
+"""
+)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every vector, eight parts of sixteen entries, after six rounds."""
+    return vectorcodes.compressed(table(spark, sf_dir, "embeddings"))
