@@ -12,8 +12,10 @@ from gradeflow.catalog import steps as S
 from gradeflow.catalog.registry import query
 from gradeflow.columns import RAW_GRADES
 from gradeflow.operators import changelog as G
+from gradeflow.operators.students import latest_record
 from gradeflow.plans import fixtures as X
 from gradeflow.sources import relational, tables, versioned
+from gradeflow.sources.keyed import KeyedTable
 from gradeflow.sources.scratch import configured, is_local, scratch_path
 
 SHOWN = ", ".join(S.SHOWN)
@@ -111,19 +113,26 @@ def relational_upsert(spark, sf):
 
 
 # -- versioned table ---------------------------------------------------------
-_LOG_ORDER = ["commit_time"]
 _LOG_COLUMNS = ["commit_time", "record_key", "row_key", "schoolyear", "srcode", "grade_final"]
 
 
+def log_root(spark: SparkSession, sf: str) -> str:
+    """A log of three commits, and the table as it stood at the second, written once per application."""
+
+    def build(root: str) -> None:
+        raw = X.raw_grades(spark, sf)
+        for number, (instant, condition) in X.COMMITS.items():
+            versioned.write_commit(
+                raw.where(condition), root, number, instant, keys=["id"], order=X.VERSION, partition_by=["schoolyear"]
+            )
+        versioned.write_base(spark, root, raw.schema, "2024-02-15")
+
+    return X.kept(spark, sf, "log", build)
+
+
 def stored_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Three commits, written once; reads of it skip the commits that they exclude."""
-    root = scratch_path(spark, "log")
-    raw = X.raw_grades(spark, sf)
-    for number, (instant, condition) in X.COMMITS.items():
-        versioned.write_commit(
-            raw.where(condition), root, number, instant, keys=["id"], order=X.VERSION, partition_by=["schoolyear"]
-        )
-    return versioned.read_log(spark, root, raw.schema)
+    """The whole log; reads of it skip the commits that they exclude."""
+    return versioned.read_log(spark, log_root(spark, sf), X.raw_grades(spark, sf).schema)
 
 
 @query(
@@ -132,8 +141,9 @@ def stored_log(spark: SparkSession, sf: str) -> DataFrame:
     f"FROM {S.latest_version('change_log')}) snap"
 )
 def log_snapshot(spark, sf):
-    log = stored_log(spark, sf)
-    return G.snapshot(log).select(*_LOG_COLUMNS, F.col("batch_id").cast("int").alias("batch"))
+    """The current table: the stored base and the commit after it."""
+    current = versioned.read_as_of(spark, log_root(spark, sf), X.raw_grades(spark, sf).schema)
+    return current.select(*_LOG_COLUMNS, F.col("batch_id").cast("int").alias("batch"))
 
 
 @query(
@@ -141,7 +151,18 @@ def log_snapshot(spark, sf):
     + S.latest_version(f"(SELECT * FROM change_log WHERE commit_time <= '{S.INSTANTS[1]}') log")
 )
 def log_as_of(spark, sf):
-    return G.snapshot_as_of(stored_log(spark, sf), "2024-02-15").select(*_LOG_COLUMNS)
+    past = versioned.read_as_of(spark, log_root(spark, sf), X.raw_grades(spark, sf).schema, "2024-02-15")
+    return past.select(*_LOG_COLUMNS)
+
+
+@query(
+    f"SELECT {', '.join(_LOG_COLUMNS)} FROM "
+    + S.latest_version(f"(SELECT * FROM change_log WHERE commit_time <= '{S.INSTANTS[0]}') log")
+)
+def log_as_of_commits(spark, sf):
+    """The table before its first base: from the commits alone."""
+    past = versioned.read_as_of(spark, log_root(spark, sf), X.raw_grades(spark, sf).schema, "2024-01-31")
+    return past.select(*_LOG_COLUMNS)
 
 
 @query(
@@ -149,16 +170,63 @@ def log_as_of(spark, sf):
     + S.latest_version(f"(SELECT * FROM change_log WHERE commit_time > '{S.INSTANTS[0]}') log")
 )
 def log_incremental(spark, sf):
-    return G.changes_since_first(stored_log(spark, sf)).select(*_LOG_COLUMNS)
+    known = versioned.commit_times(spark, log_root(spark, sf))
+    return G.changes_since_first(stored_log(spark, sf), known=known).select(*_LOG_COLUMNS)
+
+
+#: Records that a commit holds twice, where commits are not reduced by key.
+_TWICE = "id % 13 = 0"
+
+
+def repeating_log(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """The log with equal rows in its commits, and its commits."""
+
+    def build(root: str) -> None:
+        raw = X.raw_grades(spark, sf)
+        for number, (instant, condition) in X.COMMITS.items():
+            once = latest_record(raw.where(condition), ["id"], X.VERSION)
+            twice = once.unionByName(once.where(_TWICE))
+            versioned.write_commit(twice, root, number, instant, keys=["id"], partition_by=["schoolyear"])
+
+    root = X.kept(spark, sf, "repeating-log", build)
+    return versioned.read_log(spark, root, X.raw_grades(spark, sf).schema), versioned.commit_times(spark, root)
+
+
+_REPEATING = f"(SELECT * FROM change_log UNION ALL SELECT * FROM change_log WHERE {_TWICE}) log"
+_ENDS = """(SELECT record_key, commit_time, lead(commit_time) OVER (PARTITION BY record_key ORDER BY commit_time) AS valid_until
+            FROM (SELECT DISTINCT record_key, commit_time FROM change_log) versions) ends"""
 
 
 @query(
-    f"""SELECT {', '.join(_LOG_COLUMNS)} FROM change_log WHERE commit_time > '{S.INSTANTS[1]}'
-        UNION ALL SELECT {', '.join(_LOG_COLUMNS)} FROM """
-    + S.latest_version(f"(SELECT * FROM change_log WHERE commit_time <= '{S.INSTANTS[1]}') log")
+    f"""SELECT {", ".join(_LOG_COLUMNS)} FROM {_REPEATING} JOIN {_ENDS} USING (record_key, commit_time)
+        WHERE valid_until IS NULL OR valid_until > '{S.INSTANTS[1]}'"""
 )
 def log_retain(spark, sf):
-    return G.retain_commits(stored_log(spark, sf), 2).select(*_LOG_COLUMNS)
+    """What the last two commits need of a log that holds some rows twice."""
+    log, known = repeating_log(spark, sf)
+    return G.retain_commits(log, 2, known=known).select(*_LOG_COLUMNS)
+
+
+@query(f"SELECT {', '.join(_LOG_COLUMNS)}, valid_until FROM {_REPEATING} JOIN {_ENDS} USING (record_key, commit_time)")
+def log_validity(spark, sf):
+    """Every version, repeated ones included, with the commit that replaced it."""
+    log, _ = repeating_log(spark, sf)
+    return G.with_end(log).select(*_LOG_COLUMNS, "valid_until")
+
+
+@query(
+    f"""SELECT id, row_key, srcode, grade_final FROM (
+          SELECT *, row_number() OVER (PARTITION BY id ORDER BY {S.VERSION}) AS rn
+          FROM raw_grades) ranked WHERE rn = 1"""
+)
+def keyed_upsert(spark, sf):
+    """Three batches brought into a keyed table, each by an object of its own, one of them twice."""
+    root = scratch_path(spark, "keyed")
+    raw = X.raw_grades(spark, sf).select("id", "row_key", "srcode", "grade_final", "updated_at")
+    for number, (_, condition) in [*X.COMMITS.items(), (2, X.COMMITS[2])]:
+        table = KeyedTable(root, raw.schema, ["id"], X.VERSION, buckets=16)
+        table.merge(raw.where(condition), "batches", number)
+    return KeyedTable(root, raw.schema, ["id"], X.VERSION, buckets=16).read(spark).drop("updated_at")
 
 
 @query(

@@ -16,14 +16,15 @@ from gradeflow.columns import PROCESSED_GRADES, RAW_GRADES
 from gradeflow.operators import changelog as G
 from gradeflow.operators.cleaning import with_processing_time
 from gradeflow.operators.lookups import map_program_ids
-from gradeflow.operators.students import latest_record
 from gradeflow.plans import fixtures as X
 from gradeflow.plans.cleaning import clean_grades, clean_grades_stream
+from gradeflow.sources.keyed import KeyedTable
 from gradeflow.sources.scratch import scratch_path
 from gradeflow.sources.tables import literal_frame
 from gradeflow.sources.versioned import ensure_log, read_log
 from gradeflow.streaming import batches as B
 from gradeflow.streaming import messages as M
+from gradeflow.streaming.progress import ProgressStore
 
 SHOWN = ", ".join(S.SHOWN)
 MESSAGE = T.StructType(
@@ -59,13 +60,21 @@ def spoilt(spark: SparkSession, sf: str) -> DataFrame:
     return lines.select(F.concat(F.lit("spoilt "), F.col("l_orderkey").cast("string")).alias("value"))
 
 
-@query(f"SELECT {SHOWN} FROM raw_grades")
-def stream_ingest(spark, sf):
+def ingested(spark: SparkSession, sf: str, store: ProgressStore | None = None) -> str:
+    """Messages, spoilt ones among them, appended as they come; returns the table's path."""
     root = scratch_path(spark, "ingest")
     send(M.to_messages(records(spark, sf)).unionByName(spoilt(spark, sf)), f"{root}/in")
-    parsed = M.parse_json_payload(inbox(spark, f"{root}/in"), MESSAGE)
-    B.drain(B.start_append(parsed, f"{root}/out", f"{root}/checkpoint"))
-    return spark.read.schema(MESSAGE).parquet(f"{root}/out").drop("updated_at")
+    routed = M.parse_json_payload(inbox(spark, f"{root}/in"), MESSAGE)
+    query = B.start_append(routed, f"{root}/out", f"{root}/checkpoint")
+    if store is not None:
+        store.settled(query)
+    B.drain(query)
+    return f"{root}/out"
+
+
+@query(f"SELECT {SHOWN} FROM raw_grades")
+def stream_ingest(spark, sf):
+    return B.read_appended(spark, ingested(spark, sf), MESSAGE).drop("updated_at")
 
 
 @query(
@@ -73,23 +82,56 @@ def stream_ingest(spark, sf):
         FROM lineitem WHERE {_SPOILT}"""
 )
 def stream_corrupt(spark, sf):
-    root = scratch_path(spark, "corrupt")
+    """The unreadable messages, from the folder beside the readable rows."""
+    return B.read_rejects(spark, ingested(spark, sf), MESSAGE)
+
+
+@query(
+    f"""SELECT CAST((SELECT count(*) FROM raw_grades) + n AS BIGINT) AS input_rows,
+          CAST(n AS BIGINT) AS rejected_rows, CAST(0 AS BIGINT) AS damaged_rows
+        FROM (SELECT count(*) AS n FROM lineitem WHERE {_SPOILT}) lost"""
+)
+def append_metrics(spark, sf):
+    """Rows and losses of a plain append stream, from its stored progress."""
+    root = scratch_path(spark, "progress")
+    with ProgressStore(spark, root) as store:
+        ingested(spark, sf, store)
+    columns = ["input_rows", "rejected_rows", "damaged_rows"]
+    return B.read_metrics(spark, root).agg(*(F.sum(c).alias(c) for c in columns))
+
+
+def _appended(spark: SparkSession, sf: str) -> tuple[str, T.StructType]:
+    """Messages, spoilt ones among them, cleaned and appended batch by batch; the folder and the rows' schema."""
+    root = scratch_path(spark, "append")
     send(M.to_messages(records(spark, sf)).unionByName(spoilt(spark, sf)), f"{root}/in")
-    routed = M.parse_json_payload(inbox(spark, f"{root}/in"), MESSAGE, "route")
-    B.drain(B.start_append(M.bad(routed), f"{root}/out", f"{root}/checkpoint"))
-    return spark.read.schema("corrupt_record string").parquet(f"{root}/out")
+    routed = M.parse_json_payload(inbox(spark, f"{root}/in"), MESSAGE)
+
+    def process(rows: DataFrame) -> DataFrame:
+        return clean_grades_stream(rows).drop("updated_at", "processing_time")
+
+    job = B.AppendJob(
+        process, f"{root}/out", partition_by=["schoolyear"], rejects_root=f"{root}/rejects", metrics_root=f"{root}/metrics"
+    )
+    B.drain(B.start_batches(routed, job, f"{root}/checkpoint"))
+    return root, process(literal_frame(spark, [], MESSAGE)).schema
 
 
 @query(V4)
 def stream_append(spark, sf):
-    root = scratch_path(spark, "append")
-    send(M.to_messages(records(spark, sf)), f"{root}/in")
-    stream = M.parse_json_payload(inbox(spark, f"{root}/in"), MESSAGE)
-    cleaned = clean_grades_stream(stream).drop("updated_at", "processing_time")
-    B.drain(
-        B.start_append(cleaned, f"{root}/out", f"{root}/checkpoint", partition_by=["schoolyear"])
-    )
-    return spark.read.schema(cleaned.schema).parquet(f"{root}/out")
+    root, schema = _appended(spark, sf)
+    return B.read_batches(spark, f"{root}/out", schema)
+
+
+@query(
+    f"""SELECT (SELECT CAST(count(*) AS BIGINT) FROM raw_grades) + n AS input_rows, n AS rejected_rows, n AS stored_rejects
+        FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM lineitem WHERE {_SPOILT}) lost"""
+)
+def stream_append_losses(spark, sf):
+    """What a cleaning append stream could not read: counted, and stored beside its rows."""
+    root, _ = _appended(spark, sf)
+    rejects = B.read_batches(spark, f"{root}/rejects", T.StructType().add(M.CORRUPT, T.StringType()))
+    counted = B.read_metrics(spark, f"{root}/metrics").agg(F.sum("input_rows").alias("input_rows"), F.sum("rejected_rows").alias("rejected_rows"))
+    return counted.crossJoin(rejects.agg(F.count(M.CORRUPT).alias("stored_rejects")))  # one row each
 
 
 def _clean(batch: DataFrame) -> DataFrame:
@@ -210,7 +252,11 @@ _PROCESSED_AT = "2024-01-01 12:00:00"
         WHERE rn = 1"""
 )
 def stream_processed(spark, sf):
-    """Cleaned, with program ids and processing time, into the log and a keyed table."""
+    """Cleaned, with program ids and processing time, into the log and a keyed table.
+
+    Nothing is handed from one delivery to the next: each has a job and a table object of
+    its own, as after a restart.
+    """
     root = scratch_path(spark, "processed")
     programs = X.programs(spark, sf)
     order = ["updated_at", "row_key"]
@@ -219,25 +265,15 @@ def stream_processed(spark, sf):
         cleaned = map_program_ids(clean_grades(batch, X.AS_OF_YEAR), programs)
         return with_processing_time(cleaned, F.lit(_PROCESSED_AT).cast("timestamp"))
 
-    def keep_newest(rows: DataFrame) -> None:
-        """Merge the batch into the current table, a new folder each time."""
-        known = current[-1:]
-        before = [spark.read.schema(rows.schema).parquet(p) for p in known]
-        merged = rows if not before else G.upsert(before[0], rows, ["id"], order)
-        path = f"{root}/current/{len(current)}"
-        latest_record(merged, ["id"], order).write.parquet(path)
-        current.append(path)
-
-    current: list[str] = []
-    job = B.BatchJob(
-        transform=process, log_root=f"{root}/log", keys=["id"], order=order, partition_by=["schoolyear"], instant=_instant,
-        sinks=[keep_newest],
-    )
     payload = process(literal_frame(spark, [], MESSAGE)).schema
     ensure_log(spark, f"{root}/log", payload)
     for _, condition in X.COMMITS.values():
         send(M.to_messages(records(spark, sf).where(condition)), f"{root}/in")
-        parsed = M.parse_json_payload(inbox(spark, f"{root}/in"), MESSAGE)
-        B.drain(B.start_batches(parsed, job, f"{root}/checkpoint"))
-    stored = spark.read.schema(payload).parquet(current[-1])
-    return stored.select(*(F.col(f.name).cast(f.dataType) for f in PROCESSED_GRADES.fields))
+        job = B.BatchJob(
+            transform=process, log_root=f"{root}/log", keys=["id"], order=order, partition_by=["schoolyear"], instant=_instant,
+            tables=[KeyedTable(f"{root}/current", payload, ["id"], order, buckets=16)],
+            rejects_root=f"{root}/rejects", metrics_root=f"{root}/metrics",
+        )
+        B.drain(B.start_batches(M.parse_json_payload(inbox(spark, f"{root}/in"), MESSAGE), job, f"{root}/checkpoint"))
+    current = KeyedTable(f"{root}/current", payload, ["id"], order, buckets=16).read(spark)
+    return current.select(*(F.col(f.name).cast(f.dataType) for f in PROCESSED_GRADES.fields))

@@ -11,8 +11,10 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeflow.functions import constants as K
@@ -89,10 +91,18 @@ def changes_since(
 
 
 def changes_since_first(
-    log: DataFrame, keys: Sequence[str] = (KEY,), order: Sequence[str] = (COMMIT,)
+    log: DataFrame,
+    keys: Sequence[str] = (KEY,),
+    order: Sequence[str] = (COMMIT,),
+    *,
+    known: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Changes after the oldest commit, which is found inside the same query."""
-    first = log.agg(F.min(COMMIT)).scalar()
+    """Changes after the oldest commit.
+
+    It is found inside the same query, or among the ``known`` commits of a stored log
+    (``versioned.commit_times``), which takes no look at the rows.
+    """
+    first = log.agg(F.min(COMMIT)).scalar() if known is None else F.lit(min(known, default=None))
     return snapshot(log.where(F.col(COMMIT) > first), keys, order)
 
 
@@ -103,22 +113,47 @@ def upsert(
     return latest_record(base.unionByName(updates), keys, order)
 
 
+def with_end(log: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
+    """Adds ``valid_until``: the commit that replaced the version, NULL for current ones.
+
+    Equal or repeated rows of one commit share their end. One shuffle and one sort serve both
+    windows.
+    """
+    by_key = Window.partitionBy(*keys)
+    next_row = F.lead(COMMIT).over(by_key.orderBy(COMMIT))  # of the last row of a commit: the next commit
+    return (
+        log.withColumn("__next", next_row)
+        .withColumn("__next", F.max("__next").over(Window.partitionBy(*keys, COMMIT)))
+        .withColumn("valid_until", F.when(F.col("__next") > F.col(COMMIT), F.col("__next")))
+        .drop("__next")
+    )
+
+
 def retain_commits(
     log: DataFrame,
     commits: int = K.COMMITS_RETAINED,
     keys: Sequence[str] = (KEY,),
     order: Sequence[str] = (COMMIT,),
+    *,
+    known: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Only the versions that reads as of the last ``commits`` commits need.
+    """Only the versions that reads as of the last ``commits`` commits need, repeated rows included.
 
-    Those are everything after the oldest retained commit, and the table as it
-    stood at that commit.
+    Those are the rows that were not yet replaced at the oldest retained commit: everything
+    after it, which is neither shuffled nor compared, and of what came before the newest
+    version of each record. That is found from partial maxima and met again on record and
+    version, so a record with many versions is no hot key. ``known`` are the commits of a
+    stored log (``versioned.commit_times``); without it the rows are asked.
     """
-    times = log.select(COMMIT).distinct().orderBy(F.desc(COMMIT)).limit(commits)
-    oldest = times.agg(F.min(COMMIT)).first()[0]  # of a stored log this reads folder names only
-    if oldest is None:
+    if known is None:
+        times = log.select(COMMIT).distinct().orderBy(F.desc(COMMIT)).limit(commits)
+        known = [r[0] for r in times.collect()]
+    retained = sorted(known, reverse=True)[:commits]
+    if not retained:
         return log
-    old = F.col(COMMIT) <= oldest
-    # newer versions are their own group each, so one window over one scan serves both
-    version = F.when(old, F.lit("")).otherwise(F.concat(F.col(COMMIT), F.lit(" "), F.xxhash64(*log.columns).cast("string")))
-    return log.withColumn("_version", version).transform(latest_record, [*keys, "_version"], order).drop("_version")
+    old = log.where(F.col(COMMIT) <= retained[-1])
+    version = F.struct(*(F.col(c) for c in order))
+    last = old.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.max(version).alias("__last"))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    valid = old.join(last, reduce(and_, same, version.eqNullSafe(F.col("__last"))), "left_semi")
+    return log.where(F.col(COMMIT) > retained[-1]).unionByName(valid)

@@ -8,6 +8,8 @@ largest table is shuffled by part, supplier and order but not by customer too.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,6 +107,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def kept(spark: SparkSession, sf_dir: str, label: str, build: Callable[[str], None]) -> str:
+    """The path of a table that ``build`` writes once per application and state of the tables."""
+    known = (label, spark.sparkContext.applicationId, sf_dir, *_state(spark, sf_dir))
+    if known not in _STORED:
+        path = scratch_path(spark, label)
+        build(path)
+        _STORED[known] = path
+    return _STORED[known]
+
+
 def raw_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One grade record per line item, as a stored table.
 
@@ -112,12 +124,7 @@ def raw_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     so the join is run once per application and state of the tables, and its result
     kept in the shared scratch folder.
     """
-    known = (spark.sparkContext.applicationId, sf_dir, *_state(spark, sf_dir))
-    if known not in _STORED:
-        path = scratch_path(spark, "raw-grades")
-        derive_raw_grades(spark, sf_dir).write.parquet(path)
-        _STORED[known] = path
-    return spark.read.parquet(_STORED[known])
+    return spark.read.parquet(kept(spark, sf_dir, "raw-grades", lambda path: derive_raw_grades(spark, sf_dir).write.parquet(path)))
 
 
 def _state(spark: SparkSession, sf_dir: str) -> list[tuple[int, int]]:

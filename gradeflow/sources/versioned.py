@@ -3,18 +3,24 @@
 ``root/stream=S/batch_id=N/commit_time=T[/<partition columns>]``.  A batch that is
 written again replaces its own folder and nothing else, so replays change nothing.
 The new folder is written whole before it takes the old one's place.
+
+``root/_bases/as_of=T`` holds the table as it stood at commit T. Reads start from the newest
+base that is not too new and add the commits after it, so they do not grow with the age of
+the log. A commit that is written at or before T makes the bases from T on invalid; they are
+deleted before it takes its place.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gradeflow.operators.changelog import COMMIT, KEY, commit_rows
+from gradeflow.operators.changelog import COMMIT, KEY, commit_rows, parse_instant, snapshot, snapshot_as_of
+from gradeflow.sources import folders
 from gradeflow.sources.tables import empty_frame, write_parquet
 
 STREAM, BATCH = "stream", "batch_id"
@@ -47,20 +53,20 @@ def write_commit(
     stream: str = DIRECT,
 ) -> None:
     """Append a batch to the log, one row per key when ``order`` is given."""
-    waiting = f"{root}/_waiting-{uuid.uuid4().hex}"  # a name that readers skip
+    spark, target = df.sparkSession, f"{root}/{STREAM}={stream}/{BATCH}={batch_id}"
+    waiting = folders.waiting(root)
     write_parquet(commit_rows(df, instant, keys, order), waiting, partition_by=[COMMIT, *partition_by])
-    replace(df.sparkSession, waiting, f"{root}/{STREAM}={stream}/{BATCH}={batch_id}")
+    drop_bases(spark, root, min([parse_instant(instant), *_commits(spark, f"{target}/{COMMIT}=*")]))
+    folders.replace(spark, waiting, target)
+
 
+def _commits(spark: SparkSession, pattern: str) -> list[str]:
+    return sorted({path.rsplit("=", 1)[1] for path in folders.matching(spark, pattern)})
 
-def replace(spark: SparkSession, new: str, path: str) -> None:
-    """Move a finished folder to ``path``, in place of what is there."""
-    jvm = spark.sparkContext._jvm
-    source, target = jvm.org.apache.hadoop.fs.Path(new), jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.mkdirs(target.getParent())
-    files.delete(target, True)
-    if not files.rename(source, target):
-        raise OSError(f"could not move {new} to {path}")
+
+def commit_times(spark: SparkSession, root: str) -> list[str]:
+    """The commits of a stored log in order, from the names of its folders; no data is read."""
+    return _commits(spark, f"{root}/{STREAM}=*/{BATCH}=*/{COMMIT}=*")
 
 
 def read_log(spark: SparkSession, root: str, payload: T.StructType) -> DataFrame:
@@ -83,6 +89,46 @@ def ensure_log(spark: SparkSession, root: str, payload: T.StructType) -> DataFra
     return read_log(spark, root, payload)
 
 
+def base_times(spark: SparkSession, root: str) -> list[str]:
+    return _commits(spark, f"{root}/_bases/as_of=*")
+
+
+def drop_bases(spark: SparkSession, root: str, since: str) -> None:
+    """Delete the bases at ``since`` and after it."""
+    for time in base_times(spark, root):
+        if time >= since:
+            folders.delete(spark, f"{root}/_bases/as_of={time}")
+
+
+def write_base(spark: SparkSession, root: str, payload: T.StructType, instant: str | None = None) -> str | None:
+    """Store the table as it stood at the last commit up to ``instant``; returns that commit."""
+    limit = None if instant is None else parse_instant(instant)
+    past = [t for t in commit_times(spark, root) if limit is None or t <= limit]
+    if not past:
+        return None
+    waiting = folders.waiting(root)
+    write_parquet(read_as_of(spark, root, payload, past[-1]), waiting)
+    folders.replace(spark, waiting, f"{root}/_bases/as_of={past[-1]}")
+    return past[-1]
+
+
+def read_as_of(spark: SparkSession, root: str, payload: T.StructType, instant: str | None = None) -> DataFrame:
+    """The table as it stood at ``instant``, or as it stands.
+
+    Reads the newest base that is not after ``instant`` and the commits that follow it. The
+    newest commit of a record counts, as in ``changelog.snapshot``.
+    """
+    log, limit = read_log(spark, root, payload), None if instant is None else parse_instant(instant)
+    past = [t for t in base_times(spark, root) if limit is None or t <= limit]
+    if not past:
+        return snapshot(log) if limit is None else snapshot_as_of(log, limit)
+    base = spark.read.schema(log.schema).parquet(f"{root}/_bases/as_of={past[-1]}")
+    after = log.where(F.col(COMMIT) > past[-1])
+    if limit is not None:
+        after = after.where(F.col(COMMIT) <= limit)
+    return snapshot(base.unionByName(after))
+
+
 def compact(
     spark: SparkSession, log: DataFrame, new_root: str, *, partition_by: Sequence[str] = ()
 ) -> None:

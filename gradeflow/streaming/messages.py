@@ -62,16 +62,17 @@ def kafka_options(
 def parse_json_payload(
     messages: DataFrame,
     schema: T.StructType,
-    corrupt: Corrupt = "readable",
+    corrupt: Corrupt = "route",
     payload: Column | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Messages to typed columns, with the message columns that ``keep`` names.
 
     A field of the wrong type is NULL and the rest of its message stays. A message of
-    which nothing can be read is left out (``readable``), or kept with its text in
-    ``corrupt_record`` for :func:`good` and :func:`bad` to tell apart (``route``).
-    ``keep`` leaves a row for every message, ``drop`` only those without any fault.
+    which nothing can be read is kept with its text in ``corrupt_record``, for sinks, or
+    :func:`good` and :func:`bad`, to tell apart (``route``). The others lose rows or texts
+    uncounted: ``readable`` leaves such messages out, ``keep`` leaves a row for every message,
+    ``drop`` only those without any fault.
     """
     value = F.col("value").cast("string") if payload is None else payload
     with_text = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])

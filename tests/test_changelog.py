@@ -1,5 +1,7 @@
 """The versioned table: instants, reads, replays, retention, storage."""
 
+import shutil
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -161,11 +163,86 @@ def test_composite_keys_are_unambiguous(spark):
     assert {r.record_key for r in G.commit_rows(df, "2024-01-01", ["x"]).collect()} == {"a:b", "a", None, "", "-"}
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_reads_of_a_stored_log_skip_commits(spark, small_dir):
     from gradeflow.catalog import storage
 
-    log = storage.stored_log(spark, small_dir)
-    plan = G.snapshot_as_of(log, "2024-02-15")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(commit_time" in plan
-    plan = G.retain_commits(log, 2)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") == 1
+    log, known = storage.repeating_log(spark, small_dir)
+    assert "PartitionFilters: [isnotnull(commit_time" in plan_of(G.snapshot_as_of(log, "2024-02-15"))
+    plan = plan_of(G.retain_commits(log, 2, known=known))
+    filters = [line.split("PartitionFilters: ")[1].split("]")[0] for line in plan.splitlines() if "PartitionFilters" in line]
+    assert len(filters) == 3 and [f"> {known[1]}" in f for f in filters].count(True) == 1
+    assert [f"<= {known[1]}" in f for f in filters].count(True) == 2
+
+
+def test_reads_start_from_the_newest_base(spark, root, batches):
+    schema, days = batches[0].schema, [G.parse_instant(d) for d in DAYS]
+    expected = {d: values(V.read_as_of(spark, root, schema, d)) for d in (*DAYS, "2024-01-31", "2024-02-20", "2023-12-31")}
+    assert V.write_base(spark, root, schema, "2023-12-31") is None
+    assert V.write_base(spark, root, schema, "2024-02-15") == days[1]
+    assert V.base_times(spark, root) == [days[1]]
+    assert {d: values(V.read_as_of(spark, root, schema, d)) for d in expected} == expected
+    plan = V.read_as_of(spark, root, schema, DAYS[2])._jdf.queryExecution().optimizedPlan().toString()
+    assert f"> {days[1]})" in plan and f"<= {days[2]})" in plan
+    for number in (0, 1):
+        shutil.rmtree(f"{root}/stream=direct/batch_id={number}")  # what the base replaces is not read
+    assert values(V.read_as_of(spark, root, schema, DAYS[1])) == expected[DAYS[1]]
+    assert values(V.read_as_of(spark, root, schema)) == expected[DAYS[2]]
+    assert V.write_base(spark, root, schema) == days[2]  # from the base before it
+    shutil.rmtree(f"{root}/_bases/as_of={days[1]}")
+    assert values(V.read_as_of(spark, root, schema)) == expected[DAYS[2]]
+
+
+def test_late_and_replayed_commits_drop_the_bases_that_lack_them(spark, root, batches):
+    schema, days = batches[0].schema, [G.parse_instant(d) for d in DAYS]
+    for day in days:
+        V.write_base(spark, root, schema, day)
+    V.write_commit(batch(spark, (2, "late", 9)), root, 7, "2024-02-10", keys=["id"], order=["ts"])
+    assert V.base_times(spark, root) == days[:2]
+    assert values(V.read_as_of(spark, root, schema)) == ["a1", "c3", "d3", "late"]
+    # batch 0 again, later: what stood at its old instant is no longer true
+    V.write_commit(batches[0], root, 0, "2024-04-01", keys=["id"], order=["ts"])
+    assert V.base_times(spark, root) == []
+    assert values(V.read_as_of(spark, root, schema, "2024-02-01")) == ["b2", "c2"]
+
+
+def test_commits_are_known_without_a_job(spark, root, log):
+    context, times = spark.sparkContext, [G.parse_instant(d) for d in DAYS]
+    context.setJobGroup("listing", "listing")
+    assert V.commit_times(spark, root) == times
+    G.retain_commits(log, 2, known=times)
+    G.changes_since_first(log, known=times)
+    assert list(context.statusTracker().getJobIdsForGroup("listing")) == []
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert V.commit_times(spark, f"{root}/none") == []
+    assert values(G.changes_since_first(log, known=times)) == values(G.changes_since_first(log))
+    assert values(G.retain_commits(log, 2, known=times)) == values(G.retain_commits(log, 2))
+
+
+def test_retention_keeps_equal_rows(spark, tmp_path):
+    root = f"{tmp_path}/log"
+    days = [batch(spark, (1, "x", 1), (1, "x", 1), (2, "y", 1), (None, "n", 1)), batch(spark, (2, "z", 2), (2, "z", 2), (3, "w", 2)), batch(spark, (3, "q", 3), (3, "q", 3), (None, "m", 3))]
+    for number, (df, day) in enumerate(zip(days, DAYS)):
+        V.write_commit(df, root, number, day, keys=["id"])
+    log = V.read_log(spark, root, days[0].schema)
+    assert values(G.retain_commits(log, 2)) == ["m", "n", "q", "q", "w", "x", "x", "z", "z"]
+    assert values(G.retain_commits(log, 1)) == ["m", "q", "q", "x", "x", "z", "z"]
+    ends = {(r.v, r.valid_until) for r in G.with_end(log).collect()}
+    second, third = G.parse_instant(DAYS[1]), G.parse_instant(DAYS[2])
+    assert ends == {("x", None), ("y", second), ("n", third), ("z", None), ("w", third), ("q", None), ("m", None)}
+    assert G.with_end(log).count() == log.count()
+
+
+def test_what_is_replaced_goes_last(spark, tmp_path):
+    from gradeflow.sources import folders
+
+    for name in ("new", "old"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / name).write_text(name)
+    folders.replace(spark, f"{tmp_path}/new", f"{tmp_path}/old")
+    assert [p.name for p in tmp_path.iterdir()] == ["old"] and [p.name for p in (tmp_path / "old").iterdir() if not p.name.startswith(".")] == ["new"]
+    with pytest.raises(OSError):
+        folders.replace(spark, f"{tmp_path}/none", f"{tmp_path}/old")

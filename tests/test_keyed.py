@@ -1,0 +1,121 @@
+"""The keyed table: merges, replays, stops in the middle, restarts."""
+
+import os
+
+import pytest
+
+from gradeflow.sources import folders, keyed
+from gradeflow.sources.keyed import KeyedTable
+
+SCHEMA = "id long, v string, ts int"
+
+
+def table(root, spark, buckets=8):
+    return KeyedTable(f"{root}/t", spark.createDataFrame([], SCHEMA).schema, ["id"], ["ts", "v"], buckets)
+
+
+def batch(spark, *rows):
+    return spark.createDataFrame(list(rows), SCHEMA)
+
+
+def values(spark, root):
+    return sorted((r["id"] is not None, r["id"], r["v"]) for r in table(root, spark).read(spark).collect())
+
+
+def shown(*rows):
+    return sorted((i is not None, i, v) for i, v in rows)
+
+
+def files(root):
+    return {(d, f) for d, _, names in os.walk(f"{root}/t/of=8") for f in names if f.endswith(".parquet")}
+
+
+def test_newest_row_per_key_stays(spark, tmp_path):
+    assert table(tmp_path, spark).read(spark).collect() == []
+    steps = [[(1, "a", 1), (2, "b", 1), (2, "c", 2)], [(2, "old", 0), (3, "d", 1)], [(1, "e", 2), (None, "n", 1)]]
+    for number, rows in enumerate(steps):
+        assert table(tmp_path, spark).merge(batch(spark, *rows), "s", number)
+    assert values(spark, tmp_path) == shown((1, "e"), (2, "c"), (3, "d"), (None, "n"))
+
+
+def test_one_key_rewrites_one_folder(spark, tmp_path):
+    table(tmp_path, spark).merge(batch(spark, *((i, "a", 1) for i in range(200))), "s", 0)
+    before = files(tmp_path)
+    assert len({d for d, _ in before}) == 8
+    table(tmp_path, spark).merge(batch(spark, (7, "b", 2)), "s", 1)
+    changed = before ^ files(tmp_path)
+    assert len({d for d, _ in changed}) == 1
+    assert len(values(spark, tmp_path)) == 200 and (True, 7, "b") in values(spark, tmp_path)
+
+
+def test_only_touched_folders_are_read(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(keyed, "upsert", lambda before, *rest: seen.append(before) or upsert(before, *rest))
+    from gradeflow.operators.changelog import upsert
+
+    table(tmp_path, spark).merge(batch(spark, *((i, "a", 1) for i in range(200))), "s", 0)
+    table(tmp_path, spark).merge(batch(spark, (7, "b", 2)), "s", 1)
+    plan = seen[1]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "(bucket#" in plan
+
+
+def test_replay_changes_nothing(spark, tmp_path):
+    table(tmp_path, spark).merge(batch(spark, (1, "a", 1), (2, "b", 1)), "s", 0)
+    before = files(tmp_path)
+    assert not table(tmp_path, spark).merge(batch(spark, (1, "a", 1), (2, "b", 1)), "s", 0)
+    assert files(tmp_path) == before
+    assert table(tmp_path, spark).merge(batch(spark, (1, "a", 1)), "another", 0)
+
+
+@pytest.mark.parametrize("stop", ["touch", "replace", "replace after one", "write_parquet"])
+def test_a_stopped_batch_is_finished_by_its_replay(spark, tmp_path, monkeypatch, stop):
+    table(tmp_path, spark).merge(batch(spark, *((i, "a", 1) for i in range(50))), "s", 0)
+    moves = []
+
+    def broken(*args, **more):
+        moves.append(args)
+        if stop != "replace after one" or len(moves) > 2:
+            raise OSError("stopped")
+        real(*args)
+
+    real = folders.replace
+    owner, name = (keyed, stop) if stop == "write_parquet" else (folders, stop.split()[0])
+    with monkeypatch.context() as patch, pytest.raises(OSError, match="stopped"):
+        patch.setattr(owner, name, broken)
+        table(tmp_path, spark).merge(batch(spark, *((i, "b", 2) for i in range(20, 70))), "s", 1)
+    table(tmp_path, spark).merge(batch(spark, *((i, "b", 2) for i in range(20, 70))), "s", 1)
+    assert values(spark, tmp_path) == shown(*((i, "a") for i in range(20)), *((i, "b") for i in range(20, 70)))
+    assert folders.matching(spark, f"{tmp_path}/t/_staged/stream=s/*") == []
+
+
+def test_a_stop_between_two_renames_loses_nothing(spark, tmp_path, monkeypatch):
+    """The old folder is aside, the new one not yet in place: the batch's own folder still has all of it."""
+    table(tmp_path, spark).merge(batch(spark, *((i, "a", 1) for i in range(50))), "s", 0)
+
+    def stopped(session, new, path):
+        if "/_staged/" in new:
+            os.rename(path, f"{os.path.dirname(path)}/_replaced-x")
+            raise OSError("stopped")
+        real(session, new, path)
+
+    real = folders.replace
+    with monkeypatch.context() as patch, pytest.raises(OSError, match="stopped"):
+        patch.setattr(folders, "replace", stopped)
+        table(tmp_path, spark).merge(batch(spark, (1, "b", 2)), "s", 1)
+    assert len(values(spark, tmp_path)) < 50
+    table(tmp_path, spark).merge(batch(spark, (1, "b", 2)), "s", 1)
+    assert values(spark, tmp_path) == shown((1, "b"), *((i, "a") for i in range(50) if i != 1))
+
+
+def test_old_marks_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "MARKS", 2)
+    for number in range(4):
+        table(tmp_path, spark).merge(batch(spark, (1, f"v{number}", number)), "s", number)
+    marks = [path.rsplit("/", 1)[1] for path in folders.matching(spark, f"{tmp_path}/t/_marks/stream=s/*")]
+    assert marks == ["2", "3"] and values(spark, tmp_path) == shown((1, "v3"))
+
+
+def test_number_of_buckets_is_fixed(spark, tmp_path):
+    table(tmp_path, spark).merge(batch(spark, (1, "a", 1)), "s", 0)
+    with pytest.raises(ValueError, match="another number of buckets"):
+        table(tmp_path, spark, 9).read(spark)

@@ -34,7 +34,7 @@ def lines(spark, texts=LINES):
 
 
 def test_readable_rows_stay(spark):
-    rows = M.parse_json_payload(lines(spark), SCHEMA).collect()
+    rows = M.parse_json_payload(lines(spark), SCHEMA, "readable").collect()
     assert [(r["id"], r["n"]) for r in rows] == [(1, 1), (2, None), (3, None), (4, None)]
 
 
@@ -58,7 +58,7 @@ def test_keep_leaves_a_row_for_every_message(spark):
 
 
 def test_route(spark):
-    routed = M.parse_json_payload(lines(spark), SCHEMA, "route")
+    routed = M.parse_json_payload(lines(spark), SCHEMA)
     assert [r["id"] for r in M.good(routed).collect()] == [1, 2, 3, 4]
     assert [r[0] for r in M.bad(routed).collect()] == [LINES[2]]
     with pytest.raises(ValueError):
@@ -73,7 +73,7 @@ def test_messages_are_parsed_once(spark):
 def test_binary_value_and_round_trip(spark):
     df = spark.createDataFrame([("7", "Ann", "d", "s", "1", "2", "3", "4")], EMPLOYEES)
     sent = M.to_messages(df).select(F.col("value").cast("binary").alias("value"))
-    assert M.parse_json_payload(sent, EMPLOYEES).collect() == df.collect()
+    assert M.parse_json_payload(sent, EMPLOYEES, "readable").collect() == df.collect()
 
 
 def test_kafka_options():
@@ -225,23 +225,96 @@ def test_failures_are_raised_after_the_log_is_written(spark, tmp_path):
     def broken(df):
         raise RuntimeError("sink is down")
 
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
     job = make_job(tmp_path, sinks=[broken])
     with pytest.raises(RuntimeError, match="sink is down"):
         job(spark.createDataFrame(ROWS, SCHEMA), 0)
     assert newest(spark, tmp_path) == NEWEST
-    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == 0
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= before
+
+
+def append(spark, root, texts, store=None, **more):
+    spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.mode("append").text(f"{root}/in")
+    stream = M.stream_source(spark, "text", {"maxFilesPerTrigger": "1"}, f"{root}/in")
+    query = B.start_append(M.parse_json_payload(stream, SCHEMA), f"{root}/out", f"{root}/checkpoint", **more)
+    if store is not None:
+        store.settled(query)
+    B.drain(query)
+    return query
 
 
 def test_append_stream_and_progress(spark, tmp_path):
     deliver(spark, f"{tmp_path}/in", ROWS)
-    stream = M.stream_source(spark, "text", {}, f"{tmp_path}/in")
-    parsed = M.parse_json_payload(stream, SCHEMA)
-    query = B.start_append(
-        parsed, f"{tmp_path}/out", f"{tmp_path}/checkpoint", partition_by=["id"]
-    )
-    B.drain(query)
-    assert spark.read.schema(SCHEMA).parquet(f"{tmp_path}/out").count() == 40
-    assert sum(m.input_rows for m in B.progress(query)) == 40
+    query = append(spark, tmp_path, LINES, partition_by=["id"])
+    assert B.read_appended(spark, f"{tmp_path}/out", SCHEMA).count() == 44
+    assert sum(m.input_rows for m in B.progress(query)) == 45
+
+
+def test_append_stream_keeps_what_it_cannot_read(spark, tmp_path):
+    append(spark, tmp_path, LINES)
+    append(spark, tmp_path, ["{", '{"id": 9}'])
+    found = B.read_appended(spark, f"{tmp_path}/out", SCHEMA)
+    assert sorted(r["id"] for r in found.collect()) == [1, 2, 3, 4, 9]
+    assert sorted(r[0] for r in B.read_rejects(spark, f"{tmp_path}/out", SCHEMA).collect()) == [LINES[2], "{"]
+    assert all("readable=true" in path for path in found.inputFiles()) or "readable" in str(found._jdf.queryExecution().optimizedPlan())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(readable" in plan
+
+
+def test_progress_of_an_append_stream_is_stored_once_per_batch(spark, tmp_path):
+    from gradeflow.streaming.progress import ProgressStore
+
+    with ProgressStore(spark, f"{tmp_path}/metrics") as store:
+        for texts in (LINES, ["{", '{"id": 9}'], ['{"id": 8}']):
+            query = append(spark, tmp_path, texts, store)
+        again = [e for e in query.recentProgress if e.numInputRows]
+        store.onQueryProgress(type("Again", (), {"progress": again[-1]}))
+    found = B.read_metrics(spark, f"{tmp_path}/metrics").orderBy("batch_id").collect()
+    assert [(r.batch_id, r.input_rows, r.rejected_rows, r.damaged_rows) for r in found] == [(0, 5, 1, 1), (1, 2, 1, 0), (2, 1, 0, 0)]
+    assert {r.stream for r in found} == {str(query.id)}
+
+
+def test_progress_that_cannot_be_stored_is_raised(spark, tmp_path):
+    from gradeflow.streaming.progress import ProgressStore
+
+    (tmp_path / "metrics").write_text("a file, not a folder")
+    with ProgressStore(spark, f"{tmp_path}/metrics") as store, pytest.raises(Exception):
+        append(spark, tmp_path, LINES, store)
+
+
+def append_job(root, **more):
+    return B.AppendJob(lambda d: d.where("ts >= 0"), f"{root}/out", rejects_root=f"{root}/rejects", **more)
+
+
+REJECTS = T.StructType().add("corrupt_record", T.StringType())
+
+
+def test_append_job_parses_once_and_loses_nothing(spark, tmp_path):
+    seen = []
+    routed = M.parse_json_payload(lines(spark), SCHEMA)
+    parsed_rows = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            parsed_rows.add(batch.num_rows)
+            yield batch
+
+    job = append_job(tmp_path, on_metrics=seen.append)
+    job(routed.mapInArrow(counted, routed.schema).where("id IS NULL OR id < 99"), 0)
+    once = parsed_rows.value
+    assert sorted(r["id"] for r in B.read_batches(spark, f"{tmp_path}/out", SCHEMA).collect()) == [1, 2, 3, 4]
+    assert [r[0] for r in B.read_batches(spark, f"{tmp_path}/rejects", REJECTS).collect()] == [LINES[2]]
+    assert [(m.input_rows, m.output_rows, m.rejected_rows, m.damaged_rows) for m in seen] == [(5, 4, 1, 1)]
+    assert once <= 10  # a look whether there are rows at all, and one pass
+
+
+def test_replayed_append_batch_replaces_both_its_outputs(spark, tmp_path):
+    job = append_job(tmp_path, stream="s")
+    job(M.parse_json_payload(lines(spark), SCHEMA), 0)
+    job(M.parse_json_payload(lines(spark, [LINES[0], LINES[3]]), SCHEMA), 0)
+    job(M.parse_json_payload(lines(spark, ["x"]), SCHEMA), 1)
+    assert sorted(r["id"] for r in B.read_batches(spark, f"{tmp_path}/out", SCHEMA).collect()) == [1, 3]
+    assert [r[0] for r in B.read_batches(spark, f"{tmp_path}/rejects", REJECTS).collect()] == ["x"]
 
 
 def test_interval_trigger(spark, tmp_path):
