@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +18,9 @@ from gradeflow.functions import constants as K
 from gradeflow.functions import grades as G
 
 SERIES = ("srcode", "program_id")
-FEATURES = ("program", "semester", "cumulative_gwa")
+FEATURES = ("program_index", "semester", "cumulative_gwa")
+#: Thresholds that a forest tries per feature, if there are not more programs than that.
+BINS = 32
 
 
 def cumulative_gwa(
@@ -123,24 +125,29 @@ def fit_forest(
     """One forest over all students: program, term and cumulative mean -> y.
 
     A single distributed fit takes the place of one model per student, so its
-    values differ from per-student models by design.
+    values differ from per-student models by design. A program is a category: splits
+    part the programs into two sets, and ids mean nothing by their size. Programs that
+    training has not seen, and the lack of one, are a category of their own. The list of
+    programs is held by the driver.
     """
     training = (
         cumulative_gwa(series)
-        .withColumn("program", _program_feature())
+        .withColumn("program", _program())
         .where(F.col("y").isNotNull())
-        .select(*FEATURES, F.col("y").alias("label"))
+        .select("program", "semester", "cumulative_gwa", F.col("y").alias("label"))
     )
-    forest = RandomForestRegressor(numTrees=trees, seed=seed, predictionCol="yhat")
+    programs = StringIndexer(inputCol="program", outputCol="program_index", handleInvalid="keep").fit(training)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    return Pipeline(stages=[assembler, forest]).fit(training)
+    bins = max(BINS, len(programs.labels) + 1)
+    forest = RandomForestRegressor(numTrees=trees, seed=seed, maxBins=bins, predictionCol="yhat")
+    return Pipeline(stages=[programs, assembler, forest]).fit(training)
 
 
 def forest_forecast(
     model: PipelineModel, series: DataFrame, horizon: int = 1, by: Sequence[str] = SERIES
 ) -> DataFrame:
     """Forecast the next ``horizon`` terms of every student, clipped to [1, 5]."""
-    ahead = forecast_features(series, horizon, by).withColumn("program", _program_feature())
+    ahead = forecast_features(series, horizon, by).withColumn("program", _program())
     return forecast_trend(model.transform(ahead), clip("yhat")).select(
         *by, "semester", "last_y", "prediction", "trend"
     )
@@ -161,13 +168,13 @@ def forest_evaluation(
         .where("n >= 2")
     )
     model = fit_forest(parts.where("is_train").select(*by, "semester", "y"), trees, seed)
-    rows = parts.where(~F.col("is_train")).withColumn("program", _program_feature())
+    rows = parts.where(~F.col("is_train")).withColumn("program", _program())
     predicted = model.transform(rows).select(
         *by, "semester", F.col("y").alias("actual"), clip("yhat").alias("prediction")
     )
     return forecast_metrics(predicted, by)
 
 
-def _program_feature() -> Column:
-    """Program id as a number; students of an unlisted program share one value."""
-    return F.coalesce(F.col("program_id"), F.lit(-1)).cast("double")
+def _program() -> Column:
+    """Program id as the name of a category; NULL where there is none."""
+    return F.col("program_id").cast("string")

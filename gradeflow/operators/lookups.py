@@ -51,29 +51,29 @@ def map_program_ids(
 
 
 def explode_career_maps(documents: DataFrame) -> DataFrame:
-    """Career documents to rows (map_program, description, career).
+    """Career documents to rows (map_program, description, career), and map_file if there is one.
 
     A course listed twice in one document keeps its last list of careers.
-    Documents are told apart by ``program``.
+    Documents are told apart by ``program``, and by ``map_file`` if they come with it.
     """
-    courses = documents.select(
-        F.col("program").alias("map_program"), F.posexplode("courses").alias("position", "entry")
-    )
+    document = [F.col("program").alias("map_program"), *([F.col("map_file")] if "map_file" in documents.columns else [])]
+    courses = documents.select(*document, F.posexplode("courses").alias("position", "entry"))
+    names = [c for c in courses.columns if c.startswith("map_")]
     return (
-        courses.groupBy("map_program", F.col("entry.course").alias("description"))
+        courses.groupBy(*names, F.col("entry.course").alias("description"))
         .agg(F.max_by("entry.careers", "position").alias("careers"))
-        .select("map_program", "description", F.explode("careers").alias("career"))
+        .select(*names, "description", F.explode("careers").alias("career"))
     )
 
 
 def map_courses_to_careers(grades: DataFrame, careers: DataFrame) -> DataFrame:
     """Pair each graded course with the careers it leads to.
 
-    ``careers`` has (description, career) and may carry ``map_program``, which is
-    then kept.  Both inputs reach the join through their own shuffle, so adaptive
+    ``careers`` has (description, career) and may carry ``map_program`` and ``map_file``,
+    which are then kept.  Both inputs reach the join through their own shuffle, so adaptive
     execution broadcasts a small map and splits a hot course.
     """
-    kept = ["map_program"] if "map_program" in careers.columns else []
+    kept = [c for c in ("map_program", "map_file") if c in careers.columns]
     return grades.join(careers, "description").select(
         "srcode", "description", "grade_numeric", "career", *kept
     )

@@ -180,14 +180,15 @@ def attach_program_max(
     *,
     max_rows: int = BROADCAST_ROWS,
     rows_per_split: int = ROWS_PER_SPLIT,
+    at_rest: bool = False,
 ) -> DataFrame:
     """Add each program's longest course of study; an unknown program gets NULL.
 
-    The maxima are measured and broadcast if small; otherwise hot programs are split.
-    ``series`` is read twice, so hand in a stored table.
+    The maxima are measured and broadcast if small; otherwise hot programs are split,
+    from a stored copy unless ``series`` is ``at_rest`` in files. It is read twice.
     """
     maxima = program_max_semester(series)
-    return lookup(series, maxima, "program_id", max_rows=max_rows, rows_per_split=rows_per_split)
+    return lookup(series, maxima, "program_id", max_rows=max_rows, rows_per_split=rows_per_split, at_rest=at_rest)
 
 
 def student_summary(series_with_max: DataFrame) -> DataFrame:

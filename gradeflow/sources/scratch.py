@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -26,6 +26,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
 
 
+def stored_copy(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once and read again: its rows keep their files and places from then on."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def configured(spark: SparkSession, key: str) -> str | None:
     return spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
 

@@ -46,15 +46,24 @@ def read_programs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, *, multiline: bool = False
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None, *, multiline: bool = False
 ) -> DataFrame:
     reader = spark.read.option("multiLine", multiline)
-    return (reader if schema is None else reader.schema(schema)).json(path)
+    return (reader if schema is None else reader.schema(schema)).json(path if isinstance(path, str) else list(path))
 
 
-def read_career_maps(spark: SparkSession, path: str, *, multiline: bool = True) -> DataFrame:
-    """Career documents; pretty-printed files need ``multiline``."""
-    return read_json(spark, path, CAREER_MAP, multiline=multiline)
+def read_career_maps(
+    spark: SparkSession, path: str | Sequence[str], *, multiline: bool = True, by_file: bool = False
+) -> DataFrame:
+    """Career documents; pretty-printed files need ``multiline``.
+
+    ``by_file`` adds ``map_file``, the file's name without its ending, so that two files of
+    one program remain two maps.
+    """
+    documents = read_json(spark, path, CAREER_MAP, multiline=multiline)
+    if not by_file:
+        return documents
+    return documents.select("*", F.regexp_replace("_metadata.file_name", r"\.json(\.\w+)?$", "").alias("map_file"))
 
 
 def write_csv(

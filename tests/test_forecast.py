@@ -93,3 +93,30 @@ def test_forest(spark):
     metrics = O.forest_evaluation(series, trees=5).collect()
     assert len(metrics) == 31
     assert all(r["rmse"] == pytest.approx(math.sqrt(r["mse"])) for r in metrics)
+
+
+def test_program_is_a_category(spark):
+    """Good and bad programs alternate by id, so no threshold on the id parts them; one of many has no id."""
+    programs = [*range(100, 160), None]
+    rows = [
+        (f"s{p}-{k}", p, i, 1.5 if (p or 1) % 2 else 4.5) for p in programs for k in range(4) for i in range(1, 4)
+    ]
+    series = spark.createDataFrame(rows, "srcode string, program_id int, semester int, y double")
+    model = O.fit_forest(series, trees=20)
+    forest = model.stages[-1]
+    assert forest.getMaxBins() >= 61
+    assert "in {" in forest.toDebugString  # splits by sets of programs
+    ahead = spark.createDataFrame([(f"n{p}", p, 1, 3.0) for p in (101, 102, 999, None)], series.schema)
+    found = {r.srcode: r.prediction for r in O.forest_forecast(model, ahead).collect()}
+    assert len(found) == 4 and found["n101"] < found["n102"]
+
+
+def test_forest_is_not_worse_than_the_naive_forecast(spark):
+    """Held-out mean absolute error over all students at sf0.01."""
+    from gradeflow.catalog.forecasts import stored_grades
+
+    series = stored_grades(spark, "/root/testdata/sf0.01")
+    error = F.sum(F.col("mae") * F.col("n_test")) / F.sum("n_test")
+    forest = O.forest_evaluation(series).agg(error).first()[0]
+    naive = O.forecast_metrics(O.naive_forecast(series)).agg(error).first()[0]
+    assert forest <= naive

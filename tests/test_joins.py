@@ -79,6 +79,58 @@ def test_split_join_separates_equal_rows(spark, dimension):
     assert sum(per_task) == 20_000 and len(per_task) >= 6 and max(per_task) < 10_000
 
 
+@pytest.mark.parametrize("at_rest", [False, True])
+def test_split_join_parts_a_key_that_one_partition_holds(spark, tmp_path, dimension, at_rest):
+    """All rows of the hot key come out of one shuffle partition, or lie in one file."""
+    rows = spark.range(20_000).select(F.lit("hot").alias("program"), F.col("id").alias("n")).repartition(8, "program")
+    if at_rest:
+        rows.where("n >= 0").coalesce(1).write.parquet(f"{tmp_path}/rows")
+        rows = spark.read.parquet(f"{tmp_path}/rows")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        split = J.split_join(rows, dimension, ["program"], rows_per_split=1000, at_rest=at_rest)
+        assert "__part" in split._jdf.queryExecution().executedPlan().toString()
+        per_task = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
+        assert split.select("n").distinct().count() == 20_000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(per_task) == 20_000 and len(per_task) >= 6 and max(per_task) < 10_000
+
+
+def test_wide_rows_are_not_fetched_to_be_measured(spark, monkeypatch):
+    """Of a table far beyond the bound, the driver gets what fits and one row more."""
+    fetched = []
+    wide = spark.range(500).select("id", F.repeat(F.lit("x"), 10_000).alias("text"))
+    real = type(wide).toArrow
+    monkeypatch.setattr(type(wide), "toArrow", lambda df: fetched.append(real(df)) or fetched[-1])
+    assert J.measured(wide, max_bytes=50_000) is None
+    assert fetched[0].num_rows <= 6
+    assert J.measured(wide.limit(3), max_bytes=50_000).count() == 3
+    assert J.measured(wide.where("false")).count() == 0
+
+
+def test_maps_of_one_program_are_told_apart_by_file(spark, tmp_path):
+    from gradeflow.plans import careers as C
+    from gradeflow.sources.tables import read_career_maps
+
+    for name, career in (("BSIT-2018", "x"), ("BSIT-2022", "y")):
+        (tmp_path / f"{name}.json").write_text(f'{{"program": "BSIT", "courses": [\n{{"course": "c", "careers": ["{career}", "z"]}}]}}')
+    maps = read_career_maps(spark, str(tmp_path), by_file=True)
+    found = sorted(map(tuple, L.explode_career_maps(maps).collect()))
+    assert found == [("BSIT", f, "c", c) for f, c in (("BSIT-2018", "x"), ("BSIT-2018", "z"), ("BSIT-2022", "y"), ("BSIT-2022", "z"))]
+    grades = spark.createDataFrame([("s1", "c", 1.0)], "srcode string, description string, grade_numeric double")
+    C.write_careers(C.all_careers(grades, maps), f"{tmp_path}/out")
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir()) == ["map_file=BSIT-2018", "map_file=BSIT-2022"]
+    stored = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted((r.map_file, r.career) for r in stored.collect()) == [(f, c) for _, f, _, c in found]
+    assert stored.groupBy("map_file", "uuid").count().where("count > 1").count() == 0
+    assert C.program_careers(grades, maps, "BSIT").columns == ["srcode", "description", "grade_numeric", "career"]
+
+
 def test_dimension_is_computed_once(spark, skewed, dimension):
     seen = spark.sparkContext.accumulator(0)
 
