@@ -132,19 +132,25 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-WITH {PLACES.format(last=49)}, ranked AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY run) AS n,
-    row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1 AS later
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, substr(md5(text), 1, 8) AS tag, {WORDS} AS w
+  FROM (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents)
+), places AS (
+  SELECT r, doc_id, tag, i, array_to_string(w[i:i + 49], ' ') AS run
+  FROM (SELECT r, doc_id, tag, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE len(w) > 49)
+), ranked AS (
+  SELECT r, doc_id, i, count(*) OVER (PARTITION BY run) AS n,
+    row_number() OVER (PARTITION BY run ORDER BY doc_id NULLS LAST, tag, i) > 1 AS later
   FROM places
 ), marks AS (
-  SELECT doc_id, j, max(later) AS gone
-  FROM (SELECT doc_id, later, unnest(range(i, i + 50)) AS j FROM ranked WHERE n > 1) GROUP BY doc_id, j
+  SELECT r, doc_id, j, max(later) AS gone
+  FROM (SELECT r, doc_id, later, unnest(range(i, i + 50)) AS j FROM ranked WHERE n > 1) GROUP BY r, doc_id, j
 ), islands AS (
-  SELECT doc_id, j, gone, j - row_number() OVER (PARTITION BY doc_id ORDER BY j) AS island FROM marks
+  SELECT r, doc_id, j, gone, j - row_number() OVER (PARTITION BY r ORDER BY j) AS island FROM marks
 )
 SELECT doc_id, CAST(min(j) - 1 AS BIGINT) AS start_word, CAST(count(*) AS BIGINT) AS n_words,
   CAST(count(*) FILTER (gone) AS BIGINT) AS n_removed
-FROM islands GROUP BY doc_id, island
+FROM islands GROUP BY r, doc_id, island
 """
 )
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,10 +11,11 @@ partition counts as one, because its neighbour may lie in the next. Matches are
 extended left and right, to all windows of 50 words around them, and those are compared
 by all their words.
 
-A passage's first place, by doc_id and position, stays; words are removed that lie in a
-window with an earlier place. Null and empty texts have no words. Rows that repeat a
-document (same doc_id) are the same places, so they stay alike; rows without doc_id come
-last in the order.
+A passage's first place stays, by doc_id, then (texts that share an id) by the text's MD5,
+then by position; words are removed that lie in a window with an earlier place. Null and
+empty texts have no words. Rows equal in doc_id and text are one document with the same
+places: they stay alike, and their spans are reported once. Rows without doc_id come last
+in the order, and are told apart by their texts.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from gradeflow.llm.common import Rolling, cells, stored, word_hashes
 from gradeflow.llm.substrings import without
-from gradeflow.llm.windows import around, buckets_for, coverage, joined, named, repeated, with_places
+from gradeflow.llm.windows import around, buckets_for, coverage, gathered, joined, named, repeated, text_hash, with_places
 
 WINDOW = 50
 
@@ -58,13 +59,14 @@ def suffixes(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     head = window // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling = Rolling()
+        rolling, seen = Rolling(), set()
         for batch in batches:
             ids, ths, ats, keys = [], [], [], []
             for doc_id, th, raw in zip(*(cells(batch, c) for c in ("doc_id", "th", "text")), strict=True):
                 words = raw.split()
-                if len(words) < window:
+                if len(words) < window or (doc_id, th) in seen:
                     continue
+                seen.add((doc_id, th))
                 runs = rolling.runs(rolling.sums(word_hashes(words)), head)
                 at = minimisers(runs, window - head + 1)
                 ids += [doc_id] * len(at)
@@ -113,7 +115,7 @@ def anchors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     array = stored(suffixes(docs, window), "suffixes")
     ranked = array.repartitionByRange("key", "doc_id", "at").sortWithinPartitions("key", "doc_id", "at")
     found = ranked.mapInArrow(alike, "doc_id long, th long, at int")
-    return found.groupBy("doc_id", "th").agg(F.collect_list("at").alias("list")).select(
+    return found.groupBy("doc_id", "th").agg(F.collect_set("at").alias("list")).select(
         "doc_id", "th", packed_places(F.col("list")).alias("places")
     )
 
@@ -121,17 +123,16 @@ def anchors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def packed_places(lists: Column) -> Column:
     @F.arrow_udf("binary")
     def of(values: pa.Array) -> pa.Array:
-        return pa.array([np.array(x.as_py(), dtype="<u4").tobytes() for x in values], pa.binary())
+        return pa.array([np.sort(np.array(x.as_py(), dtype="<u4")).tobytes() for x in values], pa.binary())
 
     return of(lists)
 
 
-def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, th, text and ``places``: starts of the windows that occur at several places."""
+def starts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """HITS of ``docs``: starts of the windows that occur at several places."""
     texts = named(docs)
     hit = with_places(texts, anchors(texts, window), "inner")
-    starts = repeated(hit, around(window - window // 2, window), buckets_for(docs), ("places",), ordered=True)
-    return with_places(texts, starts, "left")
+    return repeated(hit, around(window - window // 2, window), buckets_for(docs), ("places",), ordered=True)
 
 
 def spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -140,25 +141,25 @@ def spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, raw, places in zip(*(cells(batch, c) for c in ("doc_id", "text", "places")), strict=True):
+            for doc_id, th, raw, places in zip(*(cells(batch, c) for c in ("doc_id", "th", "text", "places")), strict=True):
                 n = len(raw.split())
                 every, later = joined(places)
                 inside = np.concatenate(([False], coverage(every, window, n), [False]))
                 gone = np.concatenate(([0], np.cumsum(coverage(later, window, n))))
                 edges = np.flatnonzero(inside[1:] != inside[:-1])
                 out += [
-                    {"doc_id": doc_id, "start_word": a, "n_words": b - a, "n_removed": gone[b] - gone[a]}
+                    {"doc_id": doc_id, "th": th, "start_word": a, "n_words": b - a, "n_removed": gone[b] - gone[a]}
                     for a, b in edges.reshape(-1, 2).tolist()
                 ]
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=SPANS)
 
-    return repeats(docs, window).where("places IS NOT NULL").mapInArrow(
-        run, "doc_id long, start_word long, n_words long, n_removed long"
-    )
+    found = with_places(named(docs), starts(docs, window), "inner")
+    every = found.mapInArrow(run, "doc_id long, th long, start_word long, n_words long, n_removed long")
+    return every.distinct().drop("th")  # equal rows have equal spans
 
 
-SPANS = pa.schema([(x, pa.int64()) for x in ("doc_id", "start_word", "n_words", "n_removed")])
+SPANS = pa.schema([(x, pa.int64()) for x in ("doc_id", "th", "start_word", "n_words", "n_removed")])
 
 
 def cleaned(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -178,9 +179,9 @@ def cleaned(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             out.append(raw.decode())
         return pa.array(out, pa.string())
 
-    found = repeats(docs, window).select("doc_id", "th", "places").where("places IS NOT NULL").distinct()
+    found = gathered(starts(docs, window))
     row = F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias("row")
-    keyed = docs.select(row, F.col("doc_id").cast("long").alias("d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"))
+    keyed = docs.select(row, F.col("doc_id").cast("long").alias("d"), text_hash().alias("t"))
     same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("th"))
     both = keyed.join(found, same, "left")
     text = F.when(F.col("places").isNull(), F.col("row.text")).otherwise(

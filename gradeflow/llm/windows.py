@@ -16,7 +16,8 @@ back to its documents.
 * 64 bits of hash tell runs apart.
 
 Documents are named by doc_id and a hash of the text, so rows that share an id but not
-a text are kept apart; a null id is a name like any other.
+a text are kept apart; a null id is a name like any other. Rows equal in both have the same
+places, so one set of places per name is gathered, however many rows there are.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeflow.llm.common import Rolling, cells, ranges, utf8, word_hashes
@@ -54,11 +55,17 @@ HITS = "doc_id long, th long, places binary"
 
 def named(docs: DataFrame) -> DataFrame:
     """doc_id, th (a hash of the text) and the text's bytes."""
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
-        utf8("text").alias("text"),
-    )
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), utf8("text").alias("text"))
+
+
+def text_hash() -> Column:
+    """The first 60 bits of the text's MD5; null is empty."""
+    return F.conv(F.substring(F.md5(utf8("text")), 1, 15), 16, 10).cast("long")
+
+
+def tag(ths: np.ndarray) -> np.ndarray:
+    """The upper 32 of a text hash's 60 bits, which order the texts under one doc_id."""
+    return (ths >> 28).astype("<u4")
 
 
 def buckets_for(docs: DataFrame) -> int:
@@ -94,6 +101,7 @@ class Load:
         self.clear()
 
     def clear(self) -> None:
+        self.names: set[tuple[int | None, int]] = set()
         self.ids: list[int | None] = []
         self.ths: list[int] = []
         self.parts: list[Picked] = []
@@ -101,7 +109,10 @@ class Load:
         self.n = 0
 
     def add(self, doc_id: int | None, th: int, n_words: int, picked: Picked) -> None:
+        if self.ordered and (doc_id, th) in self.names:
+            return  # the same places again
         if len(picked[0]):
+            self.names.add((doc_id, th))
             self.ids.append(doc_id)
             self.ths.append(th)
             self.parts.append(picked)
@@ -120,9 +131,9 @@ class Load:
         report = np.concatenate([p[2] for p in self.parts])
         ids = np.array([NOBODY if x is None else x for x in self.ids], dtype="<i8")
         if self.ordered:
-            own = np.repeat(ids, sizes)
-            order = np.lexsort((place, own, hashes))
-            own, place = own[order], place[order]
+            own, text = np.repeat(ids, sizes), np.repeat(tag(np.array(self.ths, dtype="<i8")), sizes)
+            order = np.lexsort((place, text, own, hashes))
+            own, text, place = own[order], text[order], place[order]
         else:
             order = np.argsort(hashes, kind="stable")
         hashes, at, report = hashes[order], at[order], report[order]
@@ -130,13 +141,9 @@ class Load:
         first[1:] = hashes[1:] != hashes[:-1]
         group = np.cumsum(first) - 1
         again = ~first
-        if self.ordered:  # rows of one document repeat its places; those are not other places
-            lead = np.flatnonzero(first)[group]
-            again &= (own != own[lead]) | (place != place[lead])
         twice = np.bincount(group, weights=again)[group] > 0
         known = again & report
-        # of a run met before in this load, a place that is no result need not travel
-        sent = ~again if self.ordered else first
+        sent = first  # the first place stands for all that this load has
         entry = at | np.where(report, REPORT, np.uint32(0)) | np.where(twice, TWICE, np.uint32(0))
         spread = int(load % self.n_buckets)
         rows = [
@@ -151,7 +158,7 @@ class Load:
             rows.append({"bucket": spread, "load": load, "kind": KNOWN, "size": int(known.sum()), "a": planes(at[known] | later)})
         hashes, entry = hashes[sent], entry[sent]
         if self.ordered:
-            own, place = own[sent], place[sent]
+            own, text, place = own[sent], text[sent], place[sent]
         cuts = np.searchsorted(bucket_of(hashes, self.n_buckets), np.arange(self.n_buckets + 1, dtype=np.uint64))
         for b in np.flatnonzero(np.diff(cuts)):
             x, y = cuts[b], cuts[b + 1]
@@ -160,7 +167,7 @@ class Load:
                     "bucket": int(b), "load": load, "kind": ENTRIES, "size": int(y - x),
                     "a": planes(hashes[x:y])[(8 - self.width) * (y - x) :], "b": planes(entry[x:y]),
                     "c": planes(own[x:y]) if self.ordered else None,
-                    "d": planes(place[x:y]) if self.ordered else None,
+                    "d": planes(text[x:y]) + planes(place[x:y]) if self.ordered else None,
                 }
             )
         self.number += 1
@@ -179,7 +186,8 @@ def pack(
 ) -> DataFrame:
     """Rows of PACKED for ``docs`` (named). ``pick(hash sums, rolling, *columns)`` names the runs.
 
-    ``ordered``: entries carry doc_id and position, so that a first place can be told.
+    ``ordered``: entries carry doc_id, text and position, so that a first place can be told,
+    and rows equal in doc_id and text are one document; without it they are several.
     ``width``: bytes of hash an entry carries, from the highest; six will do where what is
     found is looked at again.
     """
@@ -212,8 +220,9 @@ def matched(packed: DataFrame) -> DataFrame:
             source = np.repeat(np.arange(len(rows)), [x["size"] for x in rows])
             if rows[0]["c"] is not None:
                 own = np.concatenate([unplaned(x["c"], "<i8", x["size"]) for x in rows])
-                place = np.concatenate([unplaned(x["d"], "<u4", x["size"]) for x in rows])
-                order = np.lexsort((place, own, hashes))
+                text = np.concatenate([unplaned(x["d"][: 4 * x["size"]], "<u4", x["size"]) for x in rows])
+                place = np.concatenate([unplaned(x["d"][4 * x["size"] :], "<u4", x["size"]) for x in rows])
+                order = np.lexsort((place, text, own, hashes))
             else:
                 order = np.argsort(hashes, kind="stable")
             ranked = hashes[order]
@@ -221,8 +230,8 @@ def matched(packed: DataFrame) -> DataFrame:
             first[1:] = ranked[1:] != ranked[:-1]
             number = np.cumsum(first) - 1
             if rows[0]["c"] is not None:
-                lead = order[np.flatnonzero(first)[number]]
-                again = (own[order] != own[lead]) | (place[order] != place[lead])
+                lead = order[np.flatnonzero(first)[number]]  # the same document may come from several loads
+                again = (own[order] != own[lead]) | (text[order] != text[lead]) | (place[order] != place[lead])
             else:
                 again = ~first
             marked = again | ((entry[order] & TWICE) > 0)
@@ -285,10 +294,14 @@ def repeated(
     return resolved(matched(pack(docs, pick, n_buckets, columns, ordered, width)))
 
 
+def gathered(hits: DataFrame) -> DataFrame:
+    """One row for each document with hits; of equal rows all loads say the same, so once is enough."""
+    return hits.groupBy("doc_id", "th").agg(F.collect_set("places").alias("places"))
+
+
 def with_places(docs: DataFrame, hits: DataFrame, how: str) -> DataFrame:
     """``docs`` (named) with ``places``: a list of binaries, null where there are none."""
-    gathered = hits.groupBy("doc_id", "th").agg(F.collect_list("places").alias("places"))
-    a, b = docs.alias("a"), gathered.alias("b")
+    a, b = docs.alias("a"), gathered(hits).alias("b")
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.th") == F.col("b.th"))
     return a.join(b, same, how).select("a.*", "b.places")
 

@@ -48,10 +48,12 @@ def test_odd_documents(spark, tmp_path, name):
     assert compare.difference(QUERIES[name](spark, str(tmp_path)), con, ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", ["op3_license_scan", "op4_substring_dedup", "op5_quality_rules"])
+@pytest.mark.parametrize("name", ["op3_license_scan", "op4_substring_dedup", "op5_quality_rules", "op10_suffix_array_dedup"])
 def test_repeated_and_nameless_documents(spark, tmp_path, name):
     passage = " ".join(f"w{i}" for i in range(70))
+    other = " ".join(f"v{i}" for i in range(80))
     texts = [(1, passage), (1, passage), (1, "mit license"), (None, passage + " x"), (None, None)]
+    texts += [(None, other), (None, other), (None, "before " + other), (7, "y " + other), (7, "z " + other), (8, other + " lone " + other)]
     odd_table(spark, "documents", spark.createDataFrame(texts, "doc_id long, text string"), tmp_path)
     con = __import__("duckdb").connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
