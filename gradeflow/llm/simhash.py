@@ -114,9 +114,11 @@ def near_edges(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return small.unionByName(close_pairs(dense, distance)).distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """doc_id, fp and component_id of every row of ``docs``."""
-    prints = stored(docs.select("doc_id", fingerprints(utf8("text"), shingle).alias("fp")), "fingerprints")
+def grouped(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """doc_id, th (a hash of the text), fp and component_id of every row of ``docs``."""
+    prints = stored(
+        docs.select("doc_id", F.xxhash64(utf8("text")).alias("th"), fingerprints(utf8("text"), shingle).alias("fp")), "fingerprints"
+    )
     classes = stored(
         prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes"
     )
@@ -128,24 +130,31 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
         "components",
     )
     known = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
-    return prints.join(named, "fp", "left").select("doc_id", "fp", known)
+    return prints.join(named, "fp", "left").select("doc_id", "th", "fp", known)
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """doc_id, fp and component_id of every row of ``docs``."""
+    return grouped(docs, shingle, distance).drop("th")
 
 
 def one_per_group(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its component, one row each; rows without doc_id stay."""
+    """The rows of ``docs`` whose doc_id names its component, one row each.
+
+    Of different texts under one doc_id, those with different fingerprints are documents of
+    their own and each keeps a row; of those with the same fingerprint the text with the
+    smallest XXH64 stays. Of rows equal in doc_id and text, and of rows without doc_id that are
+    equal in text, the one whose columns hash lowest stays; other rows without doc_id all stay.
+    """
     heads = (
-        near_duplicates(docs, shingle, distance)
+        grouped(docs, shingle, distance)
         .where("doc_id = component_id")
-        .select(F.col("doc_id").alias("head"))
-        .distinct()
+        .groupBy(F.col("doc_id").alias("head"), "fp")
+        .agg(F.min("th").alias("text_hash"))
+        .select("head", "text_hash")
     )
     row = F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias("row")
-    one = F.row_number().over(Window.partitionBy("head").orderBy("head"))
-    found = (
-        docs.select(row, F.col("doc_id").alias("head"))
-        .where("head IS NOT NULL")
-        .join(heads, "head", "left_semi")
-        .withColumn("one", one)
-        .where("one = 1")
-    )
-    return found.select("row.*").unionByName(docs.where("doc_id IS NULL"))
+    keyed = docs.select(row, F.col("doc_id").alias("head"), F.xxhash64(utf8("text")).alias("text_hash"))
+    one = F.row_number().over(Window.partitionBy("head", "text_hash").orderBy(F.xxhash64("row")))
+    kept = keyed.where("head IS NOT NULL").join(heads, ["head", "text_hash"], "left_semi")
+    return kept.unionByName(keyed.where("head IS NULL")).withColumn("one", one).where("one = 1").select("row.*")
