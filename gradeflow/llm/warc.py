@@ -38,6 +38,8 @@ from gradeflow.sources.scratch import scratch_path
 FRAME = 1 << 20
 BUNDLE = 64 << 20
 SMALL = 1000
+#: Frames that a task reads back.
+FRAMES = 16
 DATE = "2024-01-01T00:00:00Z"
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 
@@ -243,7 +245,8 @@ def read_back(index: DataFrame, payloads: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema=PAGES_SCHEMA)
 
     frames = index.select("bundle", "frame").distinct()
-    return frames.mapInArrow(run, PAGES)
+    tasks = -(-frames.count() // FRAMES) or 1  # names are tiny: by their size one task would get all
+    return frames.repartitionByRange(tasks, "bundle", "frame").mapInArrow(run, PAGES)
 
 
 PAGES_SCHEMA = pa.schema(

@@ -21,7 +21,7 @@ def pages(spark):
 def test_round_trip(spark, pages, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "FRAME", 3000)
     monkeypatch.setattr(warc, "BUNDLE", 400)
-    index = warc.written(pages.repartition(3), f"{tmp_path}/bundles").cache()
+    index = warc.written(pages.repartition(3), f"{tmp_path}/bundles")
     found = warc.read_back(index).collect()
     told = sorted(((r.page_id or 0, r.record_type, r.refers_to) for r in found), key=repr)
     assert told == sorted(
@@ -52,3 +52,11 @@ def test_bundles_are_plain_zstandard(pages, tmp_path):
 
 def test_empty(spark, pages, tmp_path):
     assert warc.archived(pages.where("false")).count() == 0
+
+
+def test_frames_are_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FRAME", 3000)
+    monkeypatch.setattr(warc, "FRAMES", 4)
+    pages = spark.range(60).selectExpr("id AS page_id", "concat('http://', id) AS url", "repeat(concat('<p>', id), 300) AS html")
+    found = warc.read_back(warc.written(pages, f"{tmp_path}/bundles"))
+    assert found.rdd.getNumPartitions() > 3 and found.count() == 60
