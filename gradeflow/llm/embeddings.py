@@ -13,7 +13,9 @@ forest of what it found.
 
 Vectors that are null, zero, of another length than their peers, or hold null or
 non-finite components link with nothing, nor do vectors without label or vec_id. Rows
-that repeat a vector are other vectors. Other columns are dropped.
+that repeat a vector are other vectors. Vectors that share a vec_id count their links apart
+and belong to one component, as do rows of that vec_id that link with nothing themselves.
+Other columns are dropped.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ RECALL = 0.999
 MARGIN = 0.005
 BLOCK = 256
 
-FOUND = "rep long, links long, other long"
+FOUND = "rep long, kind long, links long, other long"
 
 
 def usable() -> Column:
@@ -102,7 +104,7 @@ def compare(least: float):
     def of(group: pa.Table) -> pa.Table:
         member, query = group["member"].to_numpy(), group["query"].to_numpy()
         every = unit(group["vector"])
-        rep, n = group["rep"].to_numpy(), group["n"].to_numpy()
+        rep, n, kind = group["rep"].to_numpy(), group["n"].to_numpy(), group["kind"].to_numpy()
         vectors, queries = every[member], every[query]
         place = np.cumsum(member) - 1
         own = np.where(member, place, -1)[query]
@@ -116,6 +118,7 @@ def compare(least: float):
         return pa.table(
             {
                 "rep": pa.array([*rep[query].tolist(), *(a for a, _ in edges)], pa.int64()),
+                "kind": pa.array([*kind[query].tolist(), *[None] * len(edges)], pa.int64()),
                 "links": pa.array([*links, *[0] * len(edges)], pa.int64()),
                 "other": pa.array([*[None] * len(links), *(b for _, b in edges)], pa.int64()),
             }
@@ -135,7 +138,8 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, shard_rows: int =
     classes = stored(
         rows.where("ok")
         .groupBy("key")
-        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("vector").alias("vector")),
+        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("vector").alias("vector"))
+        .withColumn("kind", F.xxhash64("key")),
         "vector-classes",
     )
     kinds = classes.groupBy("label", F.size("vector").alias("dim")).agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
@@ -145,24 +149,30 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, shard_rows: int =
         .withColumn("own", F.pmod(F.xxhash64("key"), F.col("shards")).cast("int"))
     )
     mate = F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("mate")
-    columns = ["label", "dim", "rep", "n", "vector"]
+    columns = ["label", "dim", "rep", "kind", "n", "vector"]
     spread = dealt.select(*columns, "own", mate)
     as_member = spread.select(*columns, F.col("own").alias("shard"), F.col("mate").alias("block"), F.lit(True).alias("member"), (F.col("own") == F.col("mate")).alias("query"))
     as_query = spread.where("own <> mate").select(*columns, F.col("mate").alias("shard"), F.col("own").alias("block"), F.lit(False).alias("member"), F.lit(True).alias("query"))
     found = stored(
         as_member.unionByName(as_query).groupBy("label", "dim", "shard", "block").applyInArrow(compare(least), FOUND), "links"
     )
-    linked_to = components(found.where("other IS NOT NULL").select(F.col("rep").alias("a"), F.col("other").alias("b")))
-    degree = found.where("other IS NULL").groupBy("rep").agg(F.sum("links").alias("links"))
+    several = rows.groupBy("vec_id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("vec_id")
+    clashing = rows.where("ok").join(several, "vec_id").select("vec_id", "key").distinct().join(classes.select("key", "rep"), "key")
+    edges = found.where("other IS NOT NULL").select(F.col("rep").alias("a"), F.col("other").alias("b"))
+    linked_to = components(edges.unionByName(clashing.select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))))
+    degree = found.where("other IS NULL").groupBy("kind").agg(F.sum("links").alias("links"))
     named = stored(
-        classes.select("key", "rep", "n")
-        .join(degree, "rep")
+        classes.select("key", "kind", "rep", "n")
+        .join(degree, "kind")
         .join(linked_to, F.col("rep") == F.col("node"), "left")
         .select("key", (F.col("links") + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")),
         "vector-components",
     )
     both = rows.join(named, "key", "left")
-    component = F.coalesce("component_id", "vec_id")
+    others = rows.where("NOT ok").select("vec_id").distinct()
+    namesakes = rows.where("ok").join(others, "vec_id", "left_semi").join(named, "key").groupBy("vec_id").agg(F.min("component_id").alias("shared"))
+    both = both.join(namesakes, "vec_id", "left")
+    component = F.coalesce("component_id", "shared", "vec_id")
     return both.select(
         "vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept")
     )
