@@ -130,8 +130,10 @@ def stream_append_losses(spark, sf):
     """What a cleaning append stream could not read: counted, and stored beside its rows."""
     root, _ = _appended(spark, sf)
     rejects = B.read_batches(spark, f"{root}/rejects", T.StructType().add(M.CORRUPT, T.StringType()))
-    counted = B.read_metrics(spark, f"{root}/metrics").agg(F.sum("input_rows").alias("input_rows"), F.sum("rejected_rows").alias("rejected_rows"))
-    return counted.crossJoin(rejects.agg(F.count(M.CORRUPT).alias("stored_rejects")))  # one row each
+    none = F.lit(0).cast("long")
+    counted = B.read_metrics(spark, f"{root}/metrics").select("input_rows", "rejected_rows", none.alias("stored_rejects"))
+    stored = rejects.select(none.alias("input_rows"), none.alias("rejected_rows"), F.lit(1).cast("long").alias("stored_rejects"))
+    return counted.unionByName(stored).agg(*(F.sum(c).alias(c) for c in ("input_rows", "rejected_rows", "stored_rejects")))
 
 
 def _clean(batch: DataFrame) -> DataFrame:
