@@ -43,7 +43,7 @@ from gradeflow.llm.tokencount import byte_alphabet
 
 VOCABULARY = "word_bpe_49k.json"
 #: Words remembered by a task, and the longest of them.
-REMEMBERED, LONGEST = 500_000, 64
+REMEMBERED, LONGEST = 250_000, 64
 #: Texts handled at a time.
 TEXTS = 256
 #: Added to a byte for the letter at the end of a word.
@@ -150,7 +150,7 @@ class Encoder:
         self.size = {n: len(x) for n, x in pieces.letters.items()}
         self.own: Tokenizer | None = None
         self.bytes_of = byte_alphabet()
-        self.known: dict[str, array] = {}
+        self.known: dict[str, bytes] = {}
 
     def cut(self, text: str) -> list[str]:
         """The words of a text without special tokens, normalised."""
@@ -161,8 +161,8 @@ class Encoder:
         found = self.own.pre_tokenizer.pre_tokenize_str(self.own.normalizer.normalize_str(text))
         return [bytes(map(self.bytes_of.__getitem__, word)).decode() for word, _ in found]
 
-    def merged(self, word: bytes) -> array:
-        """Ids of one word by the last piece of each of its prefixes."""
+    def merged(self, word: bytes) -> bytes:
+        """Ids of one word, four bytes each, by the last piece of each of its prefixes."""
         letters = word[:-1].decode("latin-1") + chr(word[-1] + LAST)
         last, side_by_side = array("i", [-1]) * (len(letters) + 1), self.pieces.side_by_side
         for end, (piece, size) in self.automaton.iter(letters):
@@ -175,13 +175,14 @@ class Encoder:
             out.append(last[at])
             at -= self.size[last[at]]
         out.reverse()
-        return out
+        return out.tobytes()
 
-    def ids(self, text: str) -> array:
-        out, known = array("i"), self.known
+    def ids(self, text: str) -> bytearray:
+        """Ids of a text, four bytes each."""
+        out, known = bytearray(), self.known
         for part in self.special.split(text) if "<" in text or not text.isascii() else [text]:
             if part in self.pieces.special:
-                out.append(self.pieces.special[part])
+                out += array("i", [self.pieces.special[part]]).tobytes()
                 continue
             for word in self.cut(part):
                 found = known.get(word)
@@ -191,7 +192,7 @@ class Encoder:
                         if len(known) >= REMEMBERED:
                             known.clear()
                         known[word] = found
-                out.extend(found)
+                out += found
         return out
 
 
@@ -206,10 +207,10 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
             encoder = encoder or Encoder(pieces)
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
-                flat, ends = array("i"), [0]
+                flat, ends = bytearray(), [0]
                 for text in cells(part, "text"):
-                    flat.extend(encoder.ids(text.decode("utf-8", "replace")))
-                    ends.append(len(flat))
+                    flat += encoder.ids(text.decode("utf-8", "replace"))
+                    ends.append(len(flat) // 4)
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, dtype=np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
 

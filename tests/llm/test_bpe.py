@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from array import array
 
 import public_tokenizers
 import pytest
@@ -22,7 +23,9 @@ def library():
 
 @pytest.fixture(scope="module")
 def encoder():
-    return bpe.Encoder(bpe.Pieces(PATH))
+    made = bpe.Encoder(bpe.Pieces(PATH))
+    made.list = lambda text: array("i", bytes(made.ids(text))).tolist()
+    return made
 
 
 def digest(data):
@@ -53,7 +56,7 @@ def test_random_texts(library, encoder):
         text = "".join(rng.choice(rng.choice(pools)) for _ in range(rng.randrange(30)))
         if rng.random() < 0.2:
             text = text[:5] + rng.choice(["<|startoftext|>", "<|endoftext|>", "<|endoftext|", "<|EndOfText|>"]) + text[5:]
-        assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
+        assert encoder.list(text) == library.encode(text, add_special_tokens=False).ids, text
 
 
 @pytest.mark.parametrize("letters", ["ab", "ha", "aeinrst", "lo", "the", "abcdefghijklmnopqrstuvwxyz"])
@@ -61,7 +64,7 @@ def test_long_words(library, encoder, letters):
     rng = random.Random(letters)
     for n in (1, 2, 3, 30, 300, 3000, 100_000):
         word = "".join(rng.choice(letters) for _ in range(n))
-        assert encoder.ids(word).tolist() == library.encode(word, add_special_tokens=False).ids
+        assert encoder.list(word) == library.encode(word, add_special_tokens=False).ids
 
 
 def test_pairs_agree_with_merging(library, encoder):
