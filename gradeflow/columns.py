@@ -1,4 +1,7 @@
-"""Names of the columns the operators work on, and the schemas of their inputs."""
+"""Names of the columns the operators work on, and the schemas of their inputs.
+
+Fixed values: field names and types are those of the records.
+"""
 
 from __future__ import annotations
 

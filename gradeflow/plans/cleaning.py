@@ -13,6 +13,7 @@ from gradeflow.operators import cleaning as C
 from gradeflow.operators.lookups import map_program_ids
 from gradeflow.operators.students import latest_program
 
+# The columns that each flow standardises and trims.
 CASED = ("grade_final", "campus", "semester", "schoolyear")
 TRIMMED = (
     "schoolyear", "semester", "code", "description", "units", "instructor_id",
