@@ -1,17 +1,22 @@
 """License texts by diagonal voting.
 
 Templates are sequences of words: the base phrases, which must stand word for word, and
-longer license lines, which may be changed a little. Every pair of neighbouring words of
-a document is joined with the places of that pair in the templates. A hit votes for its
-diagonal, the document position minus the template position: an undisturbed copy gives
-all its votes to one diagonal, and an inserted or lost word moves the rest to a
-neighbouring one. Neighbouring diagonals are merged, and the merged span is verified by
-the share of the template's words that it covers.
+license lines and whole texts of any length, which may be changed a little. Every pair of
+neighbouring words of a document is joined with the places of that pair in the templates.
+A hit votes for its diagonal, the document position minus the template position: an
+undisturbed copy gives all its votes to one diagonal, and an inserted or lost word moves
+the rest to a neighbouring one. From every diagonal on, those that lie at most ``drift``
+words further (one word in DRIFT of the template) are merged, so a span is never longer
+than its template and that drift. A merged span with enough votes is verified by order:
+the longest chain of words that rises in the document and in the template alike must hold
+a share of COVER of the template's words. Words in another order, or strewn over a longer
+stretch, are no copy.
 
 The hash of a pair is exact: it is made of the numbers of both words in the templates'
 vocabulary, and a word outside it has no number. Votes are counted per document,
 template and diagonal with map-side sums, so a license line that a third of all rows
-share meets in no task. The templates are a fixed list and thus safe to broadcast.
+share meets in no task. The templates are a fixed list and thus safe to broadcast. A
+diagonal has at most one vote for each place of its template, which bounds what is gathered.
 
 Nulls and empty texts have no words. Repeated rows count one by one: rows are told apart
 by a number given at the scan. Other columns are dropped.
@@ -25,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeflow.llm.common import stored, utf8
+from gradeflow.llm.license_texts import TEXTS
 
 #: Phrases that count wherever their words follow each other.
 BASE = {
@@ -46,10 +52,14 @@ LINES = {
     "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl-2.0",
 }
-#: Share of a line's words that a span must cover.
+#: Share of a template's words that a span must hold in their order.
 COVER = 0.8
-#: Diagonals that belong together: a word more or less.
-NEAR = 1
+#: One word more or less is allowed for so many words of a template, one at least.
+DRIFT = 8
+#: The drift of every template in units in which it can bound a window frame.
+REACH = 1 << 20
+#: More than the words of the longest template; a point is position * PLACES - place.
+PLACES = 1 << 12
 
 #: Lower case for A-Z, and white space for every other ASCII character that is no word character.
 FOLD = bytes(
@@ -61,12 +71,17 @@ def words(raw: bytes) -> list[bytes]:
     return raw.translate(FOLD).split()
 
 
-TEMPLATES = [(t.encode().split(), label, True) for t, label in BASE.items()] + [
-    (t.encode().split(), label, False) for t, label in LINES.items()
-]
+TEMPLATES = [(words(t.encode()), label, True) for t, label in BASE.items()]
+TEMPLATES += [(words(t.encode()), label, False) for t, label in LINES.items()]
+TEMPLATES += [(words(t.encode()), label, False) for label, t in TEXTS.items()]
 NUMBERS = {w: i + 1 for i, w in enumerate(sorted({w for t, _, _ in TEMPLATES for w in t}))}
 SIZE = len(NUMBERS) + 1
-assert all(2 <= len(t) <= 62 for t, _, _ in TEMPLATES)  # covered words are bits of a long
+assert all(2 <= len(t) < PLACES for t, _, _ in TEMPLATES)
+
+
+def scale(size: int) -> int:
+    """Units of REACH that one word of drift takes: two diagonals are near if at most REACH apart."""
+    return REACH // max(1, size // DRIFT)
 
 
 def hits(text: Column) -> Column:
@@ -89,13 +104,28 @@ def hits(text: Column) -> Column:
 
 
 def template_places(spark) -> DataFrame:
-    """template, its length, label and kind, and each pair with its place in it."""
+    """template, its length, scale, label and kind, and each pair with its place in it."""
     rows = [
-        (k, len(t), label, base, i, NUMBERS[t[i]] * SIZE + NUMBERS[t[i + 1]])
+        (k, len(t), scale(len(t)), label, base, i, NUMBERS[t[i]] * SIZE + NUMBERS[t[i + 1]])
         for k, (t, label, base) in enumerate(TEMPLATES)
         for i in range(len(t) - 1)
     ]
-    return spark.createDataFrame(rows, "template int, size int, label string, base boolean, place int, pair int")
+    return spark.createDataFrame(rows, "template int, size int, scale long, label string, base boolean, place int, pair int")
+
+
+def chain(points: Column) -> Column:
+    """Length of the longest chain of ``points`` (position * PLACES - place) that rises in both.
+
+    In the order of the points, places of one position fall, so a chain takes one at most.
+    Each length is kept with the lowest place that ends a chain of it.
+    """
+    places = F.transform(F.array_sort(F.array_distinct(points)), lambda p: F.pmod(-p, F.lit(PLACES)))
+
+    def step(ends: Column, place: Column) -> Column:
+        lower = F.filter(ends, lambda x: x < place)
+        return F.concat(lower, F.array(place), F.slice(ends, F.size(lower) + 2, F.size(ends)))
+
+    return F.size(F.aggregate(places, F.array().cast("array<bigint>"), step))
 
 
 def spans(scanned: DataFrame) -> DataFrame:
@@ -105,24 +135,30 @@ def spans(scanned: DataFrame) -> DataFrame:
         scanned.select("row", F.explode("pairs").alias("p"))
         .select("row", "p.at", "p.pair")
         .join(places, "pair")
-        .groupBy("row", "template", "size", "label", "base", (F.col("at") - F.col("place")).alias("diagonal"))
-        .agg(F.count("*").alias("votes"), F.sum(F.expr("shiftleft(1L, place)")).alias("covered"))
+        .groupBy("row", "template", "size", "scale", "label", "base", (F.col("at") - F.col("place")).alias("diagonal"))
+        .agg(F.count("*").alias("votes"), F.collect_list("place").alias("places"))
     )
     whole = votes.where("base AND votes = size - 1").select(
         "row", "label", "base", F.col("diagonal").cast("long").alias("start"), F.lit(1.0).alias("score")
     )
-    along = Window.partitionBy("row", "template").orderBy("diagonal")
-    opens = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > NEAR, F.lit(True))
+    near = Window.partitionBy("row", "template").orderBy(F.col("diagonal") * F.col("scale")).rangeBetween(0, REACH)
+    # a vote is for two words: both points of it
+    points = F.flatten(
+        F.transform(
+            "places",
+            lambda x: F.array(*[(F.col("diagonal") + x + i).cast("long") * PLACES - (x + i) for i in (0, 1)]),
+        )
+    )
     merged = (
         votes.where("NOT base")
-        .withColumn("opens", opens)
-        .withColumn("part", F.sum(F.col("opens").cast("int")).over(along))
-        .groupBy("row", "template", "size", "label", "base", "part")
-        .agg(F.min("diagonal").alias("start"), F.bit_or("covered").alias("covered"))
-    )
-    # the words of a template that a pair covers: its first and its second
-    share = F.bit_count(F.expr("covered | shiftleft(covered, 1)")) / F.col("size")
-    lines = merged.select("row", "label", "base", F.col("start").cast("long").alias("start"), share.alias("score"))
+        .withColumn("points", points)
+        .select(
+            "row", "label", "base", "size", F.col("diagonal").cast("long").alias("start"),
+            F.sum("votes").over(near).alias("votes"), F.flatten(F.collect_list("points").over(near)).alias("points"),
+        )
+        .where(2 * F.col("votes") >= COVER * F.col("size"))  # fewer cannot hold enough words
+    )
+    lines = merged.select("row", "label", "base", "start", (chain(F.col("points")) / F.col("size")).alias("score"))
     return whole.unionByName(lines.where(F.col("score") >= COVER))
 
 

@@ -193,7 +193,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def template_values() -> str:
     rows = [
-        f"({k}, {len(t)}, '{label}', {base}, {i}, '{t[i].decode()} {t[i + 1].decode()}')"
+        f"({k}, {len(t)}, {licenses.scale(len(t))}, '{label}', {base}, {i}, '{t[i].decode()} {t[i + 1].decode()}')"
         for k, (t, label, base) in enumerate(licenses.TEMPLATES)
         for i in range(len(t) - 1)
     ]
@@ -207,27 +207,31 @@ WITH docs AS (
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
 ), templates AS (
-  SELECT * FROM (VALUES {template_values()}) AS v(template, size, label, base, place, pair)
+  SELECT * FROM (VALUES {template_values()}) AS v(template, size, scale, label, base, place, pair)
 ), hits AS (
-  SELECT r, template, size, label, base, pos - place AS diagonal, place
+  SELECT r, template, size, scale, label, base, pos - place AS diagonal, place
   FROM (SELECT r, unnest(range(1, len(w))) - 1 AS pos, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pair FROM docs)
   JOIN templates USING (pair)
 ), votes AS (
-  SELECT r, template, size, label, base, diagonal, count(*) AS votes, list(place) AS places
+  SELECT r, template, size, scale, label, base, diagonal, count(*) AS votes, list(place) AS places
   FROM hits GROUP BY ALL
 ), whole AS (
   SELECT r, label, base, diagonal AS start, 1.0::DOUBLE AS score FROM votes WHERE base AND votes = size - 1
-), opened AS (
-  SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > 1, true) AS opens
+), merged AS (
+  SELECT r, label, base, size, diagonal AS start, sum(votes) OVER near AS votes,
+    list(list_transform(places, lambda x: struct_pack(at := diagonal + x, down := -x))) OVER near AS points
   FROM votes WHERE NOT base
-), parts AS (
-  SELECT *, sum(opens::INT) OVER (PARTITION BY r, template ORDER BY diagonal) AS part FROM opened
+  WINDOW near AS (PARTITION BY r, template ORDER BY diagonal * scale RANGE BETWEEN CURRENT ROW AND {licenses.REACH} FOLLOWING)
+), ordered AS (
+  SELECT r, label, base, size, start, list_transform(list_sort(list_distinct(list_concat(flatten(points),
+    list_transform(flatten(points), lambda p: struct_pack(at := p.at + 1, down := p.down - 1))))), lambda p: [-p.down]) AS places
+  FROM merged WHERE 2 * votes >= {licenses.COVER} * size
 ), lines AS (
-  SELECT r, label, base, min(diagonal) AS start,
-    len(list_distinct(list_concat(flatten(list(places)), list_transform(flatten(list(places)), lambda x: x + 1))))::DOUBLE / size AS score
-  FROM parts GROUP BY r, template, size, label, base, part
+  SELECT r, label, base, start, len(list_reduce(places, lambda ends, x: list_concat(
+    list_filter(ends, lambda y: y < x[1]), x, ends[len(list_filter(ends, lambda y: y < x[1])) + 2:])))::DOUBLE / size AS score
+  FROM ordered
 ), found AS (
-  SELECT * FROM whole UNION ALL SELECT * FROM lines WHERE score >= 0.8
+  SELECT * FROM whole UNION ALL SELECT * FROM lines WHERE score >= {licenses.COVER}
 ), told AS (
   SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
     coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (base))), ','), '') AS base_labels,
