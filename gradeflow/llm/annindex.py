@@ -7,6 +7,8 @@ see each other by direct comparison.
 
 from __future__ import annotations
 
+import io
+
 import numpy as np
 
 from gradeflow.llm.common import ranges
@@ -79,6 +81,26 @@ class Graph:
             at = int(nodes[-1]) + 1
         self.connect()
 
+    def saved(self, **more: np.ndarray) -> bytes:
+        """The graph without its vectors, and ``more`` arrays."""
+        layers = {f"{part}{k}": getattr(layer, part).astype(np.int32) for k, layer in enumerate(self.layers) for part in ("rows", "lists")}
+        out = io.BytesIO()
+        np.savez(out, entry=self.entry, targets=self.targets.astype(np.int32), bounds=self.bounds, **layers, **more)
+        return out.getvalue()
+
+    @classmethod
+    def loaded(cls, vectors: np.ndarray, saved: dict[str, np.ndarray]) -> Graph:
+        graph = cls.__new__(cls)
+        graph.vectors = np.ascontiguousarray(vectors, dtype=np.float32)
+        graph.entry, graph.targets, graph.bounds = int(saved["entry"]), saved["targets"], saved["bounds"]
+        graph.layers = []
+        while (rows := saved.get(f"rows{len(graph.layers)}")) is not None:
+            lists = saved[f"lists{len(graph.layers)}"].astype(np.int64)
+            layer = Layer(0, lists.shape[1])
+            layer.rows, layer.lists = rows.astype(np.int64), lists
+            graph.layers.append(layer)
+        return graph
+
     def connect(self) -> None:
         """Both ends of every link of the lowest layer, also those pruned on one side."""
         lists = self.layers[0].of(np.arange(len(self.vectors)))

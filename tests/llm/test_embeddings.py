@@ -1,5 +1,8 @@
 """Graphs and components of vectors against brute force."""
 
+import io
+import uuid
+
 import numpy as np
 import pytest
 
@@ -26,6 +29,46 @@ def test_audited_search_finds_all():
     assert sum(map(len, apart)) >= 0.999 * truth[1500:, :1500].sum()
 
 
+def test_audit_weighs_queries(monkeypatch):
+    points = clustered(3000, 4)
+    vectors = points / np.linalg.norm(points, axis=1, keepdims=True)
+    truth = embeddings.audit(vectors, vectors, np.arange(3000), 0.98)
+    assert len(truth) >= embeddings.LINKED
+    everything = [np.flatnonzero(vectors @ v >= 0.98) for v in vectors]
+    assert all((np.isin(t, everything[i])).all() and i not in t for i, t in truth.items())
+    few = [x if len(x) > 500 else np.array([i]) for i, x in enumerate(everything)]  # all but the large group finds itself only
+    whole, links = embeddings.recall(few, truth)
+    assert whole < 0.9 and links > 0.9
+    rare = np.vstack([np.eye(600), np.eye(600)[:1]])  # one pair among 601
+    assert set(embeddings.audit(rare, rare, np.arange(601), 0.98)) == {0, 600}
+
+
+def test_stored_graph_searches_alike():
+    vectors = np.random.default_rng(6).normal(size=(1500, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    graph = Graph(vectors)
+    again = Graph.loaded(vectors, dict(np.load(io.BytesIO(graph.saved()))))
+    queries = vectors[:100].astype(np.float32)
+    assert (graph.search(queries, 32)[0] == again.search(queries, 32)[0]).all()
+
+
+@pytest.mark.parametrize("gather", [1, 3])
+def test_each_graph_is_built_once(spark, tmp_path, monkeypatch, gather):
+    plain = embeddings.build
+
+    def counted(group):
+        (tmp_path / uuid.uuid4().hex).touch()
+        return plain(group)
+
+    monkeypatch.setattr(embeddings, "build", counted)
+    monkeypatch.setattr(embeddings, "GATHER", gather)
+    rows = [(i, x.tolist(), 0) for i, x in enumerate(clustered(500, 3, 8).astype(np.float32))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    found = embeddings.near_duplicates(frame, shard_rows=100)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(tuple(r) for r in embeddings.near_duplicates(frame).collect())
+    assert len(list(tmp_path.iterdir())) == 5 + 1
+
+
 def test_recall_of_plain_search():
     vectors = np.random.default_rng(2).normal(size=(2000, 32))
     vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
