@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import tiktoken
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -239,25 +239,30 @@ def slots(patterns: list[tuple[Pattern, int]]) -> dict[int, tuple[np.ndarray, ..
 # -- dealing ------------------------------------------------------------------------
 
 
+def part_of() -> Column:
+    return F.pmod(F.xxhash64("row"), F.lit(RANKED_IN)).cast("int")
+
+
 def ranked(rows: DataFrame) -> DataFrame:
     """``rows`` with ``rank``: 0, 1, ... among the rows of equal length.
 
     Each length is dealt over many parts and ranked inside them, so that a length that
     a third of all pieces have is no single task's work; the sizes of the parts, one
-    number each, give every part its first rank.
+    number each, give every part its first rank. Rows are dealt by ``row``, a number
+    given when they were stored, so equal rows and those without doc_id spread alike.
     """
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(RANKED_IN)).cast("int"))
+    dealt = rows.withColumn("part", part_of())
     sizes = dealt.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     firsts = sizes.select("length", "part", F.coalesce(before, F.lit(0)).alias("first"))
-    inside = F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32"))
+    inside = F.row_number().over(Window.partitionBy("length", "part").orderBy("row"))
     both = dealt.withColumn("inside", inside).join(firsts, ["length", "part"])
     return both.withColumn("rank", F.col("first") + F.col("inside") - 1).drop("first", "inside", "part")
 
 
 def packed(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None) -> DataFrame:
     """PIECES with sequence_id and offset."""
-    rows = stored(pieces(docs, capacity, vocabulary), "pieces")
+    rows = stored(pieces(docs, capacity, vocabulary).withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = {r.length: r.n for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = slots(solve(counts, capacity))  # bounded by the capacity, not by the table
 

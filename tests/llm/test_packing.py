@@ -45,6 +45,14 @@ def test_whole_table(spark, small_dir, documents):
     assert check_packing(found, 1024) <= least * 1.02 + 1
 
 
+def test_equal_rows_spread_over_parts(spark):
+    rows = spark.range(20_000).selectExpr("CAST(NULL AS long) AS doc_id", "0 AS piece", "7L AS length", "1L AS ids_crc32", "id AS row")
+    found = packing.ranked(rows)
+    assert sorted(r["rank"] for r in found.select("rank").collect()) == list(range(20_000))
+    parts = rows.groupBy(packing.part_of().alias("part")).count().collect()
+    assert len(parts) == packing.RANKED_IN and max(r["count"] for r in parts) < 4 * 20_000 / packing.RANKED_IN
+
+
 def test_odd_rows(spark):
     rows = [(i, t, 1) for i, t in enumerate(ODD)] + [(None, "a b", 2), (3, ODD[3], 3), (3, ODD[3], 3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, length int")
