@@ -14,7 +14,8 @@ cells, whose number is bounded by the grid and not by the table. The driver hold
 number per domain and step.
 
 Null and empty texts have no tokens and the labels' prior as membership. Rows that repeat
-a document are scored alike. A null doc_id is scored like others. Labels of unknown
+a document are scored alike. A null doc_id is scored like others; rates are rounded by
+doc_id and text together. Labels of unknown
 documents and labels with nulls are ignored; without labels the memberships are equal.
 """
 
@@ -263,9 +264,12 @@ def fit_rates(scored: DataFrame, targets: list[float]) -> list[tuple[list[float]
     return steps
 
 
-def copies(rate_column: str = "rate", key: str = "doc_id") -> Column:
-    """How often a document is taken: its rate, rounded up or down by a hash of its id."""
-    share = F.pmod(F.xxhash64(key, F.lit("copies")), F.lit(1 << 20)) / float(1 << 20)
+def copies(rate_column: str = "rate") -> Column:
+    """How often a document is taken: its rate, rounded up or down by a hash of its id and text.
+
+    Documents without doc_id thus round by their texts; rows equal in both round alike.
+    """
+    share = F.pmod(F.xxhash64("doc_id", "th", F.lit("copies")), F.lit(1 << 20)) / float(1 << 20)
     return F.floor(F.col(rate_column) + share).cast("int")
 
 

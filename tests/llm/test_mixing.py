@@ -80,6 +80,12 @@ def test_same_as_plain_descent(spark, targets):
     assert found.min() >= 0
 
 
+def test_nameless_documents_round_apart(spark):
+    docs = spark.createDataFrame([(None, f"text {i}", 1.25) for i in range(400)], "doc_id long, text string, rate double")
+    taken = [r.n for r in docs.withColumn("th", mixing.text_hash()).select(mixing.copies().alias("n")).collect()]
+    assert set(taken) == {1, 2} and abs(sum(taken) - 500) < 40
+
+
 def test_resampled_keeps_columns_and_odd_rows(spark, rows):
     docs = spark.createDataFrame([(1, "good words", "a"), (1, "good words", "a"), (2, None, "b"), (None, "bad words", "c"), (3, "bad words", "d")], "doc_id long, text string, rate string")
     labels = spark.createDataFrame([(1, 0), (3, 1), (9, 1), (None, 1), (2, None)], "doc_id long, domain int")
