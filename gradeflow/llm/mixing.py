@@ -1,22 +1,23 @@
 """Mixing documents to target weights of domains that are known for some of them only.
 
 A table of labels says to which domain some documents belong. A naive Bayes classifier
-over hashed words and a few measures of a text's shape (capitals, symbols, repetition),
+over words and a few measures of a text's shape (capitals, symbols, repetition),
 fitted on a bounded sample of labelled rows, gives every document a membership in each
 domain. Document rates are then fitted by projected gradient least
 squares: nonnegative, and such that the expected tokens of every domain meet its target.
+How far they stay off it is returned with them (``miss``).
 
-All of it is DataFrame and SQL functions. Words are counted by bucket (a bounded table,
-broadcast for scoring) and a document's log odds are summed map-side, since its words
-lie in one task. Memberships are rounded to 1/GRID, so rates depend on a cell of the
+All of it is DataFrame and SQL functions. Words are told apart by 64 bits of hash; the
+classifier's vocabulary is bounded, so its weights are broadcast for scoring, and a
+document's log odds are summed map-side, since its words lie in one task. Memberships are rounded to 1/GRID, so rates depend on a cell of the
 grid; tokens are summed by cell once, and each gradient step is one aggregation over the
 cells, whose number is bounded by the grid and not by the table. The driver holds one
 number per domain and step.
 
 Null and empty texts have no tokens and the labels' prior as membership. Rows that repeat
 a document are scored alike. A null doc_id is scored like others; rates are rounded by
-doc_id and text together. Labels of unknown
-documents and labels with nulls are ignored; without labels the memberships are equal.
+doc_id and text together. A text of any length is one row and its distinct words; its
+evidence is damped by its length. Labels of unknown documents and labels with nulls are ignored; without labels the memberships are equal.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ from gradeflow.llm.common import stored
 
 #: Labelled rows that the classifier is fitted on, chosen by a hash of their doc_id.
 TRAIN_ROWS = 20_000
-BUCKETS = 1 << 17
+#: Words with a weight of their own: of those that tell domains apart, the most frequent.
+VOCABULARY = 1 << 17
 #: Occurrences that a word needs to weigh much.
 SMOOTH = 3.0
 #: Log odds from which on a word tells domains apart.
@@ -60,8 +62,8 @@ def tokens_of(words: str) -> Column:
     return F.when(F.size(words) > 1, F.size(words) - ends[0] - ends[1]).otherwise(1 - ends[0]).cast("long")
 
 
-def bucket_of(word: str = "word") -> Column:
-    return F.when(F.col(word) != "", F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int"))
+def key_of(word: str = "word") -> Column:
+    return F.when(F.col(word) != "", F.xxhash64(word))
 
 
 def text_hash() -> Column:
@@ -107,7 +109,7 @@ def shaped(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Classifier:
-    """weights: bucket, w0, w1, ... of the telling words; other: of all other words; priors: logs.
+    """weights: key, w0, w1, ... of the telling words; other: of all other words; priors: logs.
 
     shape: for each domain and measure of shape, the log odds of its steps.
     """
@@ -133,9 +135,9 @@ def fit(docs: DataFrame, labels: DataFrame, n_domains: int, train_rows: int = TR
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("domain", "text", words_of().alias("all"))
     words = texts.select("domain", F.explode(F.array_distinct("all")).alias("word"))
     counts = stored(
-        words.select("domain", bucket_of().alias("bucket"))
-        .where("bucket IS NOT NULL")
-        .groupBy("bucket")
+        words.select("domain", key_of().alias("key"))
+        .where("key IS NOT NULL")
+        .groupBy("key")
         .agg(*[c.alias(f"c{k}") for k, c in enumerate(own)]),
         "word-counts",
     )
@@ -145,11 +147,14 @@ def fit(docs: DataFrame, labels: DataFrame, n_domains: int, train_rows: int = TR
     share = [n / max(1, sum(totals)) for n in totals]
     odds = [F.log((F.col(f"c{k}") + SMOOTH) / (every * s + SMOOTH)) for k, s in enumerate(share)]  # found against expected
     tells = F.greatest(*[F.abs(x) for x in odds], F.lit(0.0)) >= CLEAR
-    weights = counts.where(tells).select("bucket", *[x.alias(f"w{k}") for k, x in enumerate(odds)])
-    rest = [x or 0 for x in counts.where(~tells).agg(*[F.sum(f"c{k}") for k in range(n_domains)]).first()]
+    found = counts.where(tells).orderBy(every.desc(), "key").limit(VOCABULARY)
+    counted = [f"c{k}" for k in range(n_domains)]
+    weights = stored(found.select("key", *counted, *[x.alias(f"w{k}") for k, x in enumerate(odds)]), "weights")
+    told = [x or 0 for x in weights.agg(*[F.sum(c) for c in counted]).first()]
+    rest = [n - x for n, x in zip(totals, told, strict=True)]
     other = [log((c + SMOOTH) / (sum(rest) * s + SMOOTH)) for c, s in zip(rest, share, strict=True)]
     shape = shape_odds(stored(shaped(texts).select("domain", *SHAPE), "shapes"), n_domains)
-    return Classifier(stored(weights, "weights"), other, [log((r + 1) / (sum(rows) + n_domains)) for r in rows], shape)
+    return Classifier(weights.drop(*counted), other, [log((r + 1) / (sum(rows) + n_domains)) for r in rows], shape)
 
 
 def shape_odds(texts: DataFrame, n_domains: int) -> list[list[list[float]]]:
@@ -171,7 +176,7 @@ def memberships(docs: DataFrame, known: Classifier) -> DataFrame:
     """
     priors = known.priors
     domains = range(len(priors))
-    evidence = [F.when(F.col("bucket").isNotNull(), F.coalesce(F.col(f"w{k}"), F.lit(known.other[k]))) for k in domains]
+    evidence = [F.when(F.col("key").isNotNull(), F.coalesce(F.col(f"w{k}"), F.lit(known.other[k]))) for k in domains]
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_hash().alias("th"), "text", words_of().alias("all"))
     rows = shaped(rows.select("row", "doc_id", "th", "text", "all", tokens_of("all").alias("n_tokens")))
     odds = [[F.get(F.array(*map(F.lit, odds)), F.col(name)) for name, odds in zip(SHAPE, known.shape[k], strict=True)] for k in domains]
@@ -180,8 +185,8 @@ def memberships(docs: DataFrame, known: Classifier) -> DataFrame:
     rows = rows.select("row", "doc_id", "th", "n_tokens", *looks, "all")
     words = rows.select(*keys, F.explode(F.array_distinct("all")).alias("word"))
     scored = (
-        words.select(*keys, bucket_of().alias("bucket"))
-        .join(F.broadcast(known.weights), "bucket", "left")
+        words.select(*keys, key_of().alias("key"))
+        .join(F.broadcast(known.weights), "key", "left")
         .groupBy(*keys)
         .agg(*[F.coalesce(F.sum(x), F.lit(0.0)).alias(f"s{k}") for k, x in enumerate(evidence)])
     )
@@ -218,8 +223,16 @@ def rate(steps: list[tuple[list[float], float]], part: str = "r") -> Column:
 
 
 def fit_rates(scored: DataFrame, targets: list[float]) -> list[tuple[list[float], float]]:
+    """The steps of the descent (``descent``) for documents with q0, q1, ... and n_tokens."""
+    return descent(scored, targets)[0]
+
+
+def descent(scored: DataFrame, targets: list[float]) -> tuple[list[tuple[list[float], float]], float]:
     """The steps of an accelerated projected gradient descent to the targets' shares.
 
+    Beside them, how far the rates are off: the largest difference between a domain's
+    expected share of the tokens and its target, zero if there are no tokens. It is small
+    unless the descent ran out of steps or nonnegative rates can't meet the targets.
     Minimises the sum over domains of (expected share - target) ** 2 / expected share at
     rate one; the weights make domains of unlike size converge at one pace. Gradients are
     taken in the metric of the documents' tokens.
@@ -232,7 +245,7 @@ def fit_rates(scored: DataFrame, targets: list[float]) -> list[tuple[list[float]
     pairs = [F.sum(F.col("tokens") * F.col(f"q{i}") * F.col(f"q{j}")) / GRID**2 for i in domains for j in domains]
     first = cells.agg(F.sum("tokens"), *[F.sum(F.col("tokens") * F.col(f"q{k}")) / GRID for k in domains], *pairs).first()
     if not first[0]:
-        return []
+        return [], 0.0
     total = first[0]
     share = np.array(first[1 : 1 + len(targets)]) / total
     gram = np.array(first[1 + len(targets) :]).reshape(len(targets), -1) / total
@@ -243,14 +256,14 @@ def fit_rates(scored: DataFrame, targets: list[float]) -> list[tuple[list[float]
     pace = 1 / np.linalg.eigvalsh(gram * half[:, None] * half[None, :]).max()
     steps: list[tuple[list[float], float]] = []
     momentum, last = 1.0, np.inf
-    for _ in range(STEPS):
+    while True:
         z, r = rate(steps, "z"), rate(steps, "r")
         reached = cells.select("tokens", *[f"q{k}" for k in domains], z.alias("z"), r.alias("r")).agg(
             *[F.sum(F.col("tokens") * F.col(f"q{k}") * F.col("z")) for k in domains],
             *[F.sum(F.col("tokens") * F.col(f"q{k}") * F.col("r")) for k in domains],
         ).first()
         at_z, at_r = np.array(reached).reshape(2, -1) / (GRID * total)
-        if np.abs(np.where(met, at_r - wanted, 0)).max() < CLOSE:
+        if len(steps) == STEPS or np.abs(np.where(met, at_r - wanted, 0)).max() < CLOSE:
             break
         miss = float((scale * (at_r - wanted) ** 2).sum())
         if miss > last:  # the look-ahead has overshot: begin anew from here
@@ -261,7 +274,7 @@ def fit_rates(scored: DataFrame, targets: list[float]) -> list[tuple[list[float]
         following = (1 + sqrt(1 + 4 * momentum**2)) / 2
         steps.append(((pace * scale * (at_z - wanted)).tolist(), (momentum - 1) / following))
         momentum = following
-    return steps
+    return steps, float(np.abs(at_r - wanted).max())
 
 
 def copies(rate_column: str = "rate") -> Column:
@@ -274,12 +287,13 @@ def copies(rate_column: str = "rate") -> Column:
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: list[float]) -> DataFrame:
-    """doc_id, th, n_tokens, q0.., rate and copies of every row of ``docs``.
+    """doc_id, th, n_tokens, q0.., rate, miss and copies of every row of ``docs``.
 
     Documents that belong mainly to a domain of target 0 are not taken, whatever their rate.
     """
     scored = stored(memberships(docs, fit(docs, labels, len(targets))), "memberships")
-    found = scored.withColumn("rate", rate(fit_rates(scored, targets))).withColumn("copies", copies())
+    steps, miss = descent(scored, targets)
+    found = scored.withColumn("rate", rate(steps)).withColumn("miss", F.lit(miss)).withColumn("copies", copies())
     for k in (k for k, target in enumerate(targets) if target == 0):
         found = found.withColumn("copies", F.when(F.col(f"q{k}") > GRID // 2, F.lit(0)).otherwise(F.col("copies")))
     return found

@@ -286,10 +286,10 @@ def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Memberships, rate and copies of every document."""
+    """Memberships, rate and copies of every document; how far the shares stay off their targets."""
     found = mixing.mixed(table(spark, sf_dir, "documents"), domains(spark, sf_dir), list(TARGETS))
     shares = [(F.col(f"q{k}") / mixing.GRID).alias(f"p_{name}") for k, name in enumerate(DOMAINS)]
-    return found.select("doc_id", "n_tokens", *shares, "rate", "copies")
+    return found.select("doc_id", "n_tokens", *shares, "rate", "copies", "miss")
 
 
 @query()

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from plain_mixing import agrees, plain_copies, plain_memberships
 from pyspark.sql import functions as F
 
 from gradeflow.llm import mixing
@@ -96,3 +97,53 @@ def test_resampled_keeps_columns_and_odd_rows(spark, rows):
     none = labels.where("false")
     assert {r.q0 for r in mixing.mixed(docs, none, [0.5, 0.5]).collect()} == {mixing.GRID // 2}
     assert mixing.resampled(docs.where("false"), labels, [0.5, 0.5]).count() == 0
+
+
+ODD = [
+    (None, "plain words without a name"), (None, None), (3, None), (4, ""), (5, "..."), (5, "same id, other text"), (5, "same id, other text"),
+    (-7, "WORDS | in | Capitals ## ## again again again"), (-8, "long " * 20_000 + "end."), (-9, "été Übung " * 40),
+]
+
+
+def test_same_as_plain_memberships_and_copies(spark, small_dir, documents):
+    docs = [(d, t) for d, t in documents] + ODD
+    labels = [tuple(r) for r in domains(spark, small_dir).collect()] + [(5, 2), (-8, 2), (10**12, 1), (None, 1), (4, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, domain int")
+    targets = [0.6, 0.25, 0.15]
+    plain = dict(zip(docs, plain_memberships(docs, labels, 3), strict=True))
+    texts = frame.select("doc_id", "text", mixing.text_hash().alias("th")).distinct()
+    found = mixing.mixed(frame, known, targets)
+    rows = found.join(texts.withColumnRenamed("doc_id", "d"), "th").where("doc_id <=> d").collect()
+    assert len(rows) >= len(docs)
+    kinds, reached, total = set(), np.zeros(3), 0
+    for r in rows:
+        n, p = plain[r.doc_id, r.text]
+        assert r.n_tokens == n and agrees([r.q0, r.q1, r.q2], p), (r, p)
+        assert r.copies == plain_copies(r.doc_id, r.text, r.rate) and r.rate >= 0
+        kinds.add((r.q0, r.q1, r.q2, r.rate))
+    for r in found.collect():  # equal rows count as often as they are there
+        reached += np.array([r.q0, r.q1, r.q2]) / mixing.GRID * r.rate * r.n_tokens
+        total += r.n_tokens
+        assert r.miss == rows[0].miss
+    assert len({k[:3] for k in kinds}) == len(kinds) > 3  # a rate depends on the memberships alone
+    assert abs(np.abs(reached / total - targets).max() - rows[0].miss) < 1e-9
+
+
+def test_says_how_far_off_it_is(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, domain int")
+    docs = spark.createDataFrame([(i, ("good text " if i % 2 == 0 else "bad words ") * 20) for i in range(40)], "doc_id long, text string")
+    near, far = ({r.miss for r in mixing.mixed(docs, labels, t).collect()} for t in ([0.7, 0.3], [0.0, 1.0]))
+    assert len(near) == len(far) == 1 and near.pop() < 1e-5
+    scored = spark.createDataFrame([(64, 0, 10), (32, 32, 10)], "q0 int, q1 int, n_tokens long")
+    assert mixing.descent(scored, [0.0, 1.0])[1] > 0.05 and mixing.descent(scored.where("false"), [0.5, 0.5]) == ([], 0.0)
+
+
+def test_bounded_vocabulary(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"common word {'left' if i % 2 else 'right'} side{i % 2}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, domain int")
+    assert mixing.fit(docs, labels, 2).weights.count() == 4
+    monkeypatch.setattr(mixing, "VOCABULARY", 2)
+    known = mixing.fit(docs, labels, 2)
+    assert known.weights.count() == 2 and known.weights.columns == ["key", "w0", "w1"]
+    assert all((r.q1 > 32) == (r.doc_id % 2 == 1) for r in mixing.memberships(docs, known).collect())
