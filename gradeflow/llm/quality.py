@@ -5,7 +5,9 @@ mask of failed rules. Policies are named masks; applying one, or asking what a r
 alone costs, is integer arithmetic on the mask and never reads a text again.
 
 Nulls and empty texts have no words and fail ``few_words``. Repeated rows are judged
-one by one. Other columns of the input are dropped, so none can clash.
+one by one. Other columns of the input are dropped, so none can clash. ``judged`` shows
+beside each document the one rule that it would need to be without (null if it is kept,
+or if several rules reject it), and how many documents that rule alone costs.
 """
 
 from __future__ import annotations
@@ -126,6 +128,21 @@ def ablations(book: DataFrame, policy: str) -> DataFrame:
     )
 
 
+def sole(failed: Column, policy: str) -> Column:
+    """The name of the only rule of the policy that a document fails; null if none or several."""
+    hit = failed.bitwiseAND(F.lit(mask(policy)))
+    return F.coalesce(*[F.when(hit == BITS[name], F.lit(name)) for name in POLICIES[policy]])
+
+
+def judged(book: DataFrame, policy: str = CURRENT) -> DataFrame:
+    """A ledger with ``sole_rule`` and ``n_sole``: the documents that an ablation of it brings back.
+
+    ``book`` is read twice, so it should be stored. What is joined has a row per rule at most.
+    """
+    cost = ablations(book, policy).select(F.col("rule").alias("sole_rule"), F.col("n_only").alias("n_sole"))
+    return book.withColumn("sole_rule", sole(F.col("failed"), policy)).join(F.broadcast(cost), "sole_rule", "left")
+
+
 def accepted(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     """The rows of ``docs`` that the policy keeps, with their columns; one scan, no shuffle."""
     row = F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias("row")

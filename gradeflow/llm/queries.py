@@ -20,7 +20,7 @@ from gradeflow.llm import (
     vectorcodes,
     warc,
 )
-from gradeflow.llm.common import table
+from gradeflow.llm.common import stored, table
 
 QUERIES = {}
 ORACLES = {}
@@ -70,13 +70,19 @@ WITH docs AS (
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
   CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
   CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, failed = 0 AS kept,
-  CAST(n_lines AS BIGINT) AS n_lines, failed
-FROM judged
+  CAST(n_lines AS BIGINT) AS n_lines, failed, sole_rule,
+  CASE WHEN sole_rule IS NOT NULL THEN CAST(count(*) OVER (PARTITION BY sole_rule) AS BIGINT) END AS n_sole
+FROM (
+  SELECT *, CASE failed WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_words' WHEN 4 THEN 'symbols'
+    WHEN 8 THEN 'repeated_lines' WHEN 16 THEN 'short_words' WHEN 32 THEN 'long_words' END AS sole_rule
+  FROM judged
+)
 """
 )
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measurements, failed rules and the verdict of the current policy for every document."""
-    return quality.ledger(table(spark, sf_dir, "documents")).select(
+    """Measurements, failed rules, verdict of the current policy and ablation of the one rule at fault."""
+    book = stored(quality.ledger(table(spark, sf_dir, "documents")), "quality-ledger")
+    return quality.judged(book).select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -87,6 +93,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~quality.rejected_by(F.col("failed"), quality.CURRENT)).alias("kept"),
         "n_lines",
         "failed",
+        "sole_rule",
+        "n_sole",
     )
 
 

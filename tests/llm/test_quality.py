@@ -28,3 +28,14 @@ def test_ablations(spark):
         assert failed == sum(m & quality.BITS[rule] > 0 for m in masks)
         assert only == sum(m & quality.mask("v1") == quality.BITS[rule] for m in masks)
     assert found["few_words"] == (3, 3) and found["repeated_words"][0] == 1 and found["symbols"] == (1, 1)
+
+
+def test_judged_tells_what_one_rule_costs(spark):
+    book = quality.ledger(docs(spark))
+    for policy in quality.POLICIES:
+        found = quality.judged(book, policy).collect()
+        masks = [r.failed & quality.mask(policy) for r in found]
+        alone = {m: name for name, m in quality.BITS.items() if name in quality.POLICIES[policy]}
+        assert len(found) == 7 and [r.sole_rule for r in found] == [alone.get(m) for m in masks]
+        assert [r.n_sole for r in found] == [masks.count(m) if m in alone else None for m in masks]
+    assert quality.judged(book.where("false")).count() == 0
