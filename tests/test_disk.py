@@ -70,6 +70,7 @@ def test_passes_hold_every_row_once(spark):
 @pytest.mark.parametrize(
     "name",
     [
+        "log_snapshot",
         "log_incremental",
         "log_retain",
     ],
