@@ -71,6 +71,7 @@ def test_passes_hold_every_row_once(spark):
     "name",
     [
         "log_snapshot",
+        "log_as_of",
         "log_incremental",
         "log_retain",
     ],
