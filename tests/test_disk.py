@@ -76,6 +76,7 @@ def test_passes_hold_every_row_once(spark):
         "log_retain",
         "log_validity",
         "upsert_latest",
+        "log_composite_key",
     ],
 )
 def test_several_passes_give_the_rows_of_one(spark, small_dir, monkeypatch, name):
