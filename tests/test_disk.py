@@ -110,6 +110,14 @@ def test_text_files_are_stored_small(spark, small_dir, name):
     assert sum(map(os.path.getsize, stored)) < rows.count() * 120
 
 
+def test_messages_take_a_seventh_of_their_text(spark, small_dir, tmp_path):
+    messages = M.to_messages(streams.records(spark, small_dir)).coalesce(1)
+    streams.send(messages, f"{tmp_path}/in")
+    size = sum(p.stat().st_size for p in (tmp_path / "in").glob("part-*"))
+    assert size * 7 < messages.agg(F.sum(F.octet_length("value"))).first()[0]
+    assert rows_of(spark.read.text(f"{tmp_path}/in")) == rows_of(messages)
+
+
 def test_settings_are_put_back(spark):
     before = spark.conf.get(scratch.CLEANUP, None)
     with scratch.sized(spark, 1):
