@@ -79,6 +79,8 @@ def test_passes_hold_every_row_once(spark):
         "log_composite_key",
         "stream_append",
         "stream_append_losses",
+        "stream_upsert",
+        "batch_metrics",
     ],
 )
 def test_several_passes_give_the_rows_of_one(spark, small_dir, monkeypatch, name):
