@@ -81,6 +81,7 @@ def test_passes_hold_every_row_once(spark):
         "stream_append_losses",
         "stream_upsert",
         "batch_metrics",
+        "stream_arrival_order",
     ],
 )
 def test_several_passes_give_the_rows_of_one(spark, small_dir, monkeypatch, name):
