@@ -70,20 +70,10 @@ def test_passes_hold_every_row_once(spark):
 @pytest.mark.parametrize(
     "name",
     [
-        "log_snapshot",
-        "log_as_of",
-        "log_incremental",
-        "log_retain",
-        "log_validity",
-        "upsert_latest",
-        "log_composite_key",
-        "stream_append",
-        "stream_append_losses",
-        "stream_upsert",
-        "batch_metrics",
-        "stream_arrival_order",
+        "log_snapshot", "log_as_of", "log_incremental", "log_validity", "log_retain", "log_composite_key", "upsert_latest", "stream_append",
+        "stream_append_losses", "stream_upsert", "batch_metrics", "stream_arrival_order", "stream_processed",
     ],
-)
+)
 def test_several_passes_give_the_rows_of_one(spark, small_dir, monkeypatch, name):
     once = rows_of(QUERIES[name](spark, small_dir))
     monkeypatch.setattr(scratch, "BYTES_PER_PASS", X.source_bytes(spark, small_dir) // 3 + 1)
@@ -106,6 +96,18 @@ def test_a_commit_in_passes_keeps_one_row_per_key(spark, tmp_path):
     assert V.read_log(spark, f"{tmp_path}/4", batch.schema).count() == 18
 
 
+def test_a_keyed_table_takes_its_buckets_in_passes(spark, tmp_path):
+    first = spark.createDataFrame([(i % 30, i, i) for i in range(90)], "id int, v int, ts int")
+    second = spark.createDataFrame([(i, -i, 50 + i) for i in range(40)], first.schema)
+    tables = [KeyedTable(f"{tmp_path}/{p}", first.schema, ["id"], ["ts", "v"], buckets=7) for p in (1, 3)]
+    for table, passes in zip(tables, (1, 3)):
+        assert table.merge(first, "s", 0, passes) and table.merge(second, "s", 1, passes)
+        assert not table.merge(second, "s", 1, passes)
+        assert table.merge(first.where("false"), "s", 2, passes)
+    assert rows_of(tables[0].read(spark)) == rows_of(tables[1].read(spark))
+    assert tables[1].read(spark).count() == 40
+
+
 def test_a_large_batch_is_counted_once_and_its_rejects_are_kept(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text("".join(f'{{"id": {i}, "p": "{i % 3}"}}\n' for i in range(50)) + "spoilt\n")
